@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weirflow.functions import rules as R
 from weirflow.functions.parsing import all_present
-from weirflow.schema import RULES, TANKS
+from weirflow.schema import HEAD_PAIRS, RULES, TANKS
 from weirflow.operators.dimensions import constant_table
 
 
@@ -103,3 +103,12 @@ def rule_versus(flagged: DataFrame, column: str, values: dict[int, str]) -> Data
     return flagged.groupBy("alert_type").agg(
         *(F.count_if(F.col(column) == value).alias(name) for value, name in values.items())
     )
+
+
+def head_gain(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Pressure gained (or lost) across each asset that has a sensor on both sides."""
+    gains = [
+        (F.col(down).cast("double") - F.col(up).cast("double")).alias(f"{asset}_gain")
+        for asset, (up, down) in HEAD_PAIRS.items()
+    ]
+    return df.select(*keys, *gains)

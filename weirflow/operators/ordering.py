@@ -90,7 +90,7 @@ def feature_diff(
         now = {c: F.col(c).cast("double") for c in columns}
         return [(v - F.lag(v, 1).over(w)).alias(f"{c}_diff") for c, v in now.items()]
 
-    return over_neighbours(sequenced, 1, changes, chunk_rows).drop(*columns)
+    return over_neighbours(sequenced, 1, changes, chunk_rows).drop(*columns, POSITION)
 
 
 def feature_rolling_mean(
@@ -103,4 +103,4 @@ def feature_rolling_mean(
         frame = w.rowsBetween(-(rows - 1), 0)
         return [F.avg(F.col(c).cast("double")).over(frame).alias(f"{c}_mean") for c in columns]
 
-    return over_neighbours(sequenced, rows - 1, means, chunk_rows).drop(*columns)
+    return over_neighbours(sequenced, rows - 1, means, chunk_rows).drop(*columns, POSITION)

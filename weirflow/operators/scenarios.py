@@ -174,7 +174,8 @@ def training_mix(base: DataFrame, order: list[str], normal_run: int = NORMAL_RUN
 
     Every ``normal_run`` consecutive records lend their first ones to one run of each
     scenario, which keeps the share of attacks the same at any size. Keys number the
-    normal records first, then the attacks. A window only ever sees one run.
+    normal records first, then the attacks. Only lent records are shuffled, and a
+    window only ever sees one run.
     """
     if normal_run < ATTACK_RUN:
         raise ValueError("a round must hold one run of every scenario")
@@ -184,21 +185,38 @@ def training_mix(base: DataFrame, order: list[str], normal_run: int = NORMAL_RUN
         .withColumn("step", F.col(POSITION) % normal_run)
     )
     n_normal = placed.select(F.max(POSITION) + 1).scalar()
-    parts = [placed.withColumn("scenario", F.lit(NORMAL)).withColumn("number", F.col(POSITION))]
-    start = 0
-    for s in SCENARIOS:
-        lent = placed.filter((F.col("step") >= start) & (F.col("step") < start + s.length))
-        number = n_normal + F.col("round") * ATTACK_RUN + F.col("step")
-        numbered = lent.withColumn("scenario", F.lit(s.name)).withColumn("number", number)
-        parts.append(overlay(numbered, s, ["round"]))
-        start += s.length
-    mix = parts[0]
-    for part in parts[1:]:
-        mix = mix.unionByName(part)
+    normal = placed.withColumn("scenario", F.lit(NORMAL)).withColumn("number", F.col(POSITION))
+    lent = (
+        placed.filter(F.col("step") < ATTACK_RUN)
+        .withColumn("scenario", _scenario_of_step())
+        .withColumn("number", n_normal + F.col("round") * ATTACK_RUN + F.col("step"))
+    )
+    mix = normal.unionByName(_overlay_by_name(lent, ["round", "scenario"]))
     key = F.format_string(KEY_FORMAT, F.col("number")).alias("key")
     return mix.select(key, *(c for c in mix.columns if c not in (POSITION, "round", "step", "number")))
 
 
+def _scenario_of_step() -> Column:
+    stop, chain = 0, F
+    for s in SCENARIOS:
+        stop += s.length
+        chain = chain.when(F.col("step") < stop, F.lit(s.name))
+    return chain
+
+
+def _overlay_by_name(df: DataFrame, run: list[str]) -> DataFrame:
+    """All scenarios in one pass; the record's ``scenario`` chooses what is forced."""
+
+    def column(c: str) -> Column:
+        chain = F
+        for s in SCENARIOS:
+            if c in s.forced:
+                chain = chain.when(F.col("scenario") == s.name, _forced(c, s.forced[c], run))
+        return F.col(c) if chain is F else chain.otherwise(F.col(c)).alias(c)
+
+    return df.select(*(F.lit(1).cast("int").alias(c) if c == LABEL else column(c) for c in df.columns))
+
+
 def scenario_counts(mix: DataFrame) -> DataFrame:
     return mix.groupBy("scenario").agg(F.count("*").alias("n"))
 

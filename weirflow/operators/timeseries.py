@@ -9,6 +9,7 @@ of fields before a shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,7 +134,7 @@ def _moment(time: str, key: str) -> Column:
     a struct would force every task to sort its input first.
     """
     micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(19,0)")
-    return micros * F.lit(10**19).cast("decimal(20,0)") + F.col(key).cast("decimal(19,0)")
+    return micros * F.lit(Decimal(10) ** 19) + F.col(key).cast("decimal(19,0)")
 
 
 def _latest_wide(df: DataFrame, fields: list[str], key: str, with_time: bool = False) -> DataFrame:
