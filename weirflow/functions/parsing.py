@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,13 +51,31 @@ def typed(column: str) -> Column:
 
 
 def is_present(column: str) -> Column:
-    """Neither NULL nor NaN; the NULL half reaches the file scan as a pushed filter."""
+    """Neither NULL nor NaN."""
     value = F.col(column)
     return value.isNotNull() & ~F.isnan(value) if column in SENSORS else value.isNotNull()
 
 
+def any_of(conditions: Iterable[Column]) -> Column:
+    """True where some condition holds, else false (a NULL condition does not hold).
+
+    Written as one CASE rather than a chain of ORs: Spark's code generator splits the
+    branches of a CASE over several methods, while a long chain grows into a single
+    method too large for the JVM to compile.
+    """
+    chain = F
+    for condition in conditions:
+        chain = chain.when(condition, True)
+    return chain.otherwise(False)
+
+
+def all_of(conditions: Iterable[Column]) -> Column:
+    """True where every condition holds; conditions must not be NULL."""
+    return ~any_of(~c for c in conditions)
+
+
 def all_present(columns: list[str]) -> Column:
-    return reduce(and_, (is_present(c) for c in columns))
+    return all_of(is_present(c) for c in columns)
 
 
 def filled(column: str, default: float = 0.0) -> Column:

@@ -21,7 +21,8 @@ def _field(column: str) -> Column:
     value = F.col(column)
     if column in FLOAT_FIELDS:
         wide = value.cast("double")
-        text = F.regexp_replace(wide.cast("string"), r"\.0$", "")
+        whole = (wide == F.floor(wide)) & (F.abs(wide) < 1e7)
+        text = F.when(whole, wide.cast("long").cast("string")).otherwise(wide.cast("string"))
         finite = ~F.isnan(wide) & (F.abs(wide) != float("inf"))
         return F.when(finite, F.concat(F.lit(f"{column}="), text))
     return F.concat(F.lit(f"{column}="), value.cast("int").cast("string"), F.lit("i"))

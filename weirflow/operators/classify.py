@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions import rules as R
-from weirflow.functions.parsing import all_present
 from weirflow.schema import HEAD_PAIRS, RULES, TANKS
 from weirflow.operators.dimensions import constant_table
 
 
 def tank_not_null(df: DataFrame) -> DataFrame:
     """Records that carry all tank levels."""
-    return df.filter(all_present(TANKS))
+    return df.na.drop("any", subset=TANKS)
 
 
 def classify(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.parsing import all_present, is_present, parse_datetime, typed
+from weirflow.functions.parsing import all_present, any_of, is_present, parse_datetime, typed
 from weirflow.schema import LABEL, RAW_TIME, RECORD, SENSORS, STATUSES, UNKNOWN_LABEL
 
 READINGS = SENSORS + STATUSES
@@ -31,7 +31,8 @@ def drop_unknown(df: DataFrame) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame) -> DataFrame:
-    return df.filter(all_present(READINGS))
+    """Records with every reading; NaN counts as absent."""
+    return df.na.drop("any", subset=READINGS)
 
 
 def labelled_only(df: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def load_checks(loaded: DataFrame) -> DataFrame:
         "label_missing": F.count_if(label.isNull()),
         "timestamp_not_iso": F.count_if(~F.coalesce(F.col("timestamp").rlike(iso), F.lit(False))),
         "reading_missing": F.count_if(~all_present(READINGS)),
-        "status_not_binary": F.count_if(reduce(lambda a, b: a | b, (~F.col(s).isin(0, 1) for s in STATUSES))),
+        "status_not_binary": F.count_if(any_of(~F.col(s).isin(0, 1) for s in STATUSES)),
         "level_missing": F.count_if(~is_present("L_T1")),
         "rows": F.count("*"),
         "attacks": F.count_if(label == 1),

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirflow.functions import payload as P
+from weirflow.functions.parsing import any_of
 from weirflow.schema import LABEL, RECORD, RECORD_SCHEMA, SENSORS, STATUSES, TANKS
 
 
@@ -27,7 +25,7 @@ def valid(payload: DataFrame) -> DataFrame:
 
 def quarantine(payload: DataFrame) -> DataFrame:
     """Rejected payloads with their messages, for a reject table next to the good ones."""
-    return with_problems(payload.filter(~F.coalesce(P.is_valid(), F.lit(False)))).withColumn(
+    return with_problems(payload.filter(~P.is_valid())).withColumn(
         "problems", F.col("problems.message")
     )
 
@@ -39,7 +37,7 @@ def to_messages(payload: DataFrame, keys: list[str]) -> DataFrame:
 def summary(payload: DataFrame) -> DataFrame:
     """Problems by field and kind; the row ``* / skipped`` counts the rejected payloads."""
     skipped = F.struct(F.lit("*").alias("field"), F.lit("skipped").alias("kind"), F.lit("").alias("message"))
-    found = with_problems(payload.filter(~F.coalesce(P.is_valid(), F.lit(False))))
+    found = with_problems(payload.filter(~P.is_valid()))
     return (
         found.select(F.inline(F.array_append("problems", skipped)))
         .groupBy("field", "kind")
@@ -66,15 +64,15 @@ def parse(messages: DataFrame, keys: list[str], keep_corrupt: bool = False) -> D
 
 def payload_checks(payload: DataFrame) -> DataFrame:
     """Rows that break each promise of a valid payload."""
-    not_rounded = reduce(or_, (F.round(F.col(c), P.DECIMALS) != F.col(c) for c in SENSORS))
-    absent = reduce(or_, (F.col(c).isNull() for c in RECORD))
+    not_rounded = any_of((F.round(F.col(c), P.DECIMALS) != F.col(c) for c in SENSORS))
+    absent = any_of((F.col(c).isNull() for c in RECORD))
     checks = {
         "key_missing": F.count_if(absent),
         "timestamp_not_iso": F.count_if(~(F.col("timestamp").contains("T") & F.col("timestamp").endswith("Z"))),
         "sensor_not_rounded": F.count_if(not_rounded),
-        "status_not_binary": F.count_if(reduce(or_, (~F.col(c).isin(0, 1) for c in STATUSES))),
-        "level_negative": F.count_if(reduce(or_, (F.col(c) < 0 for c in TANKS))),
-        "not_a_number": F.count_if(reduce(or_, (F.isnan(c) for c in SENSORS))),
+        "status_not_binary": F.count_if(any_of((~F.col(c).isin(0, 1) for c in STATUSES))),
+        "level_negative": F.count_if(any_of((F.col(c) < 0 for c in TANKS))),
+        "not_a_number": F.count_if(any_of((F.isnan(c) for c in SENSORS))),
         "rows": F.count("*"),
         "attacks": F.count_if(F.col(LABEL) == 1),
     }
@@ -82,10 +80,9 @@ def payload_checks(payload: DataFrame) -> DataFrame:
 
 
 def export_view(df: DataFrame, keys: list[str], decimals: int = 6) -> DataFrame:
-    """Readings as fixed-decimal text, ready for a delimited export."""
+    """Readings as fixed-decimal text, ready for a delimited export; NaN gives an empty cell."""
     text = [
-        F.when(F.col(c).isNotNull(), F.format_string(f"%.{decimals}f", F.col(c).cast("double"))).alias(c)
-        for c in SENSORS
+        F.col(c).cast("double").try_cast(f"decimal(30,{decimals})").cast("string").alias(c) for c in SENSORS
     ]
     rest = [F.col(c).cast("string").alias(c) for c in [*STATUSES, LABEL]]
     return df.select(*keys, "timestamp", *text, *rest)

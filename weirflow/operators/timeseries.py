@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from weirflow.functions.parsing import any_of
 from weirflow.functions.points import line_protocol
 from weirflow.functions.rules import status_text
 from weirflow.schema import MEASUREMENT, POINT_FIELDS, TANKS, VIOLATION_LIMITS
@@ -137,24 +138,35 @@ def _moment(time: str, key: str) -> Column:
     return micros * F.lit(Decimal(10) ** 19) + F.col(key).cast("decimal(19,0)")
 
 
-def _latest_wide(df: DataFrame, fields: list[str], key: str, with_time: bool = False) -> DataFrame:
-    ranked = df.withColumn("_moment", _moment(TIME, key).cast("decimal(38,0)"))
+def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id") -> DataFrame:
+    """Latest value of every series, with its time; among equal times the highest key.
 
-    def at(f: str) -> Column:
-        return F.when(F.col(f).isNotNull(), F.col("_moment"))
+    First the latest time per series, then the values of the few records at those
+    times: two hash aggregates over plain numbers, never a sort of the table.
+    """
 
-    values = [F.max_by(F.col(f).cast("double"), at(f)).alias(f) for f in fields]
-    times = [F.max(F.when(F.col(f).isNotNull(), F.col(TIME))).alias(f"{f}__time") for f in fields]
-    return ranked.groupBy(SERIES).agg(*values, *(times if with_time else []))
+    def time_of(f: str) -> str:
+        return f"{f}__time"
 
+    times = df.groupBy(SERIES).agg(
+        *(F.max(F.when(F.col(f).isNotNull(), F.col(TIME))).alias(time_of(f)) for f in fields)
+    )
+    # One row per alert type, and the rule table bounds those: safe to broadcast.
+    candidates = df.join(F.broadcast(times), SERIES).filter(
+        any_of(F.col(TIME) == F.col(time_of(f)) for f in fields)
+    )
 
-def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id") -> DataFrame:
-    """Latest value of every series, with its time."""
-    wide = _latest_wide(df, fields, key, with_time=True)
+    def key_at_latest(f: str) -> Column:
+        return F.when((F.col(TIME) == F.col(time_of(f))) & F.col(f).isNotNull(), F.col(key))
+
+    values = candidates.groupBy(SERIES).agg(
+        *(F.max_by(F.col(f).cast("double"), key_at_latest(f)).alias(f) for f in fields),
+        *(F.max(time_of(f)).alias(time_of(f)) for f in fields),
+    )
     pairs = F.array(
-        *(F.struct(F.lit(f).alias("field"), F.col(f"{f}__time").alias("_time"), F.col(f).alias("value")) for f in fields)
+        *(F.struct(F.lit(f).alias("field"), F.col(time_of(f)).alias("_time"), F.col(f).alias("value")) for f in fields)
     )
-    return wide.select(SERIES, F.inline(pairs)).filter("value is not null")
+    return values.select(SERIES, F.inline(pairs)).filter("value is not null")
 
 
 def pivot_latest(df: DataFrame, fields: list[str], key: str = "event_id") -> DataFrame:

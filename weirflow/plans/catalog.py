@@ -21,7 +21,7 @@ from weirflow.schema import (
     DISPLAYS, FEATURES, LABEL, MEASUREMENT, NORMAL, POINT_FIELDS, RAW_RECORD, RAW_TIME, RECORD, SENSORS,
     STATUSES, TANKS,
 )
-from weirflow.session import scratch_path, use_utc
+from weirflow.session import scratch_path, prepared
 from weirflow.sinks import tables as sinks
 from weirflow.sources import events, files, streams
 from weirflow.streaming import pipeline, windows
@@ -53,7 +53,7 @@ _REGISTRY: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(use_utc(spark), sf_dir)
+        return fn(prepared(spark), sf_dir)
 
     _REGISTRY[fn.__name__] = run
     return run

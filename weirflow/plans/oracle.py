@@ -99,7 +99,7 @@ def _raw() -> str:
             return f"CAST({c} AS VARCHAR){dot} AS {c}"
         if c == LABEL:
             return f"CAST({c} AS VARCHAR) AS {c}"
-        printed = f"CASE WHEN {c} IS NOT NULL THEN printf('%.2f', CAST({c} AS DOUBLE)) END"
+        printed = f"CAST(CAST(CAST({c} AS DOUBLE) AS DECIMAL(10, 2)) AS VARCHAR)"
         if c == "L_T6":
             printed = f"CASE WHEN event_id % 131 = 5 THEN 'n/a' ELSE {printed} END"
         return f"{printed} AS {c}"

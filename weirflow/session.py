@@ -12,40 +12,53 @@ from pyspark.sql import SparkSession
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
-def local_session(app: str = "weirflow", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+#: Settings every session of this library needs; all of them may change at run time.
+SETTINGS = {
+    # Telemetry clocks are UTC; text and timestamps must agree everywhere.
+    "spark.sql.session.timeZone": "UTC",
+    # Records are wide and rules many. Above 8000 bytes the JVM only interprets a generated
+    # method; below this limit Spark uses its split, compilable form instead (10-30 times faster).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def local_session(
+    app: str = "weirflow", cores: str = "*", shuffle_partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """Session for tests and the benchmark; on a cluster spark-submit brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("WEIRFLOW_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return prepared(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Telemetry clocks are UTC; pin the session so text and timestamps agree everywhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepared(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for written tables and stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to the machine's temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Where neither that nor a checkpoint
+    folder of the context is set, only a local master may use the machine's temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="run-weirflow-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-weirflow-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

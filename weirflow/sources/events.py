@@ -105,7 +105,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             return F.concat(value.cast("string"), F.lit(".0")) if number % 2 == 0 else value.cast("string")
         if column == LABEL:
             return value.cast("string")
-        printed = F.when(value.isNotNull(), F.format_string("%.2f", value.cast("double")))
+        printed = value.cast("double").cast("decimal(10,2)").cast("string")
         return F.when(_event() % 131 == 5, F.lit("n/a")).otherwise(printed) if column == "L_T6" else printed
 
     return wide.select(*KEYS, *(text(c).alias(c) for c in RAW_RECORD))
