@@ -13,6 +13,7 @@ from weirflow.functions.parsing import filled
 from weirflow.operators.metrics import class_weights, classification_report, confusion_matrix
 from weirflow.operators.sampling import stratified_split
 from weirflow.schema import FEATURES, LABEL
+from weirflow.session import scratch_path
 
 ALERT = "ml_alert"
 _INPUT = {f: f"x_{f}" for f in FEATURES}
@@ -43,9 +44,21 @@ def forest(trees: int, depth: int, seed: int) -> Pipeline:
     ])
 
 
+def stored_features(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The filled features written once to the shared folder and read back.
+
+    A fit reads its input many times; the table cuts the lineage, is columnar, and is
+    still there when an executor with cached blocks is lost.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "features")
+    feature_table(df, keys).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def train(df: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
-    """Fits on labelled records. The inputs are cached, spilling to disk, as a fit reads them often."""
-    rows = weighted(filled_features(df.select(LABEL, *FEATURES)).select(LABEL, *_INPUT.values()))
+    """Fits on labelled records. The written features are also cached, spilling to disk."""
+    rows = weighted(filled_features(stored_features(df, [LABEL])).select(LABEL, *_INPUT.values()))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return forest(trees, depth, seed).fit(rows)
@@ -66,7 +79,7 @@ def score(df: DataFrame, model: PipelineModel | None = None) -> DataFrame:
 
 def evaluate(df: DataFrame, key: str, trees: int = 100, depth: int = 10, seed: int = 42) -> dict[str, DataFrame]:
     """Hold-out report, confusion matrix and importances of a model fitted on three quarters."""
-    split = stratified_split(df.select(key, LABEL, *FEATURES), key, seed)
+    split = stratified_split(stored_features(df, [key, LABEL]), key, seed)
     model = train(split.filter("split = 'train'"), trees, depth, seed)
     judged = predict(split.filter("split = 'validation'"), model)
     return {

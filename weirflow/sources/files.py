@@ -31,7 +31,7 @@ def scan(
     skipped; inside a folder the bound on ``time`` is pushed to the file scan.
     """
     if measurement != MEASUREMENT:
-        return store.limit(0)
+        return store.filter(F.lit(False))
     if start is not None:
         store = store.filter((F.col("date") >= F.to_date(start)) & (F.col(time) >= start))
     if stop is not None:
