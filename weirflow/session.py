@@ -32,6 +32,8 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Wide records mean many column expressions; do not record a call site for each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("WEIRFLOW_DRIVER_MEMORY", "8g"))
     )
     if shared:

@@ -23,72 +23,51 @@ GHOST_FLOW_ACTUATOR = "PU3"
 KEYS = ["event_id", "ts"]
 
 
-def _event() -> Column:
-    return F.col("event_id")
+# The readings are SQL text: one call per column to build, where a tree of Column
+# operators would cost the driver a round trip per operator.
 
 
-def _user() -> Column:
-    return F.col("user_id")
+def _level(k: int) -> str:
+    wobble = f"(event_id * {2 * k + 3} + user_id * {k + 5})"
+    return f"""cast(case when event_id % 97 = {k} then null
+        when (event_id + {3 * k}) % 11 = 0 then {wobble} % 700 / 100.0D
+        else {TANK_MIDDLE[k - 1]}D + {wobble} % 50 / 100.0D end as float)"""
 
 
-def _level(k: int) -> Column:
-    wobble = _event() * (2 * k + 3) + _user() * (k + 5)
-    swinging = (wobble % 700) / F.lit(100.0)
-    steady = F.lit(TANK_MIDDLE[k - 1]) + (wobble % 50) / F.lit(100.0)
-    return (
-        F.when(_event() % 97 == k, F.lit(None))
-        .when((_event() + 3 * k) % 11 == 0, swinging)
-        .otherwise(steady)
-        .cast("float")
-    )
-
+def _status(j: int) -> str:
+    return f"""cast(case when event_id % 101 = {j} then null
+        else (event_id * {2 * j + 1} + user_id * {j}) % 7 % 2 end as int)"""
 
-def _status(j: int) -> Column:
-    return F.when(_event() % 101 == j, F.lit(None)).otherwise((_event() * (2 * j + 1) + _user() * j) % 7 % 2).cast("int")
 
+def _flow(j: int, actuator: str) -> str:
+    ghost = "when event_id % 53 = 3 then 65.0D" if actuator == GHOST_FLOW_ACTUATOR else ""
+    return f"""cast(case when event_id % 103 = {j} then null when event_id % 211 = {j} then 600.0D {ghost}
+        else cast(coalesce(S_{actuator}, 0) * (30 + (event_id * 3 + {17 * j}) % 70) as double) end as float)"""
 
-def _flow(j: int, actuator: str) -> Column:
-    running = F.coalesce(F.col(f"S_{actuator}"), F.lit(0)) * (30 + (_event() * 3 + 17 * j) % 70)
-    flow = F.when(_event() % 103 == j, F.lit(None)).when(_event() % 211 == j, F.lit(600.0))
-    if actuator == GHOST_FLOW_ACTUATOR:
-        flow = flow.when(_event() % 53 == 3, F.lit(65.0))
-    return flow.otherwise(running.cast("double")).cast("float")
 
+def _pressure(x: int) -> str:
+    return f"""cast(case when event_id % 223 = {x} then 150.0D when event_id % 59 = 7 then {x / 10}D
+        else 20.0D + (event_id * {x + 2} + user_id) % 600 / 10.0D end as float)"""
 
-def _pressure(x: int) -> Column:
-    usual = F.lit(20.0) + ((_event() * (x + 2) + _user()) % 600) / F.lit(10.0)
-    return (
-        F.when(_event() % 223 == x, F.lit(150.0))
-        .when(_event() % 59 == 7, F.lit(x / 10.0))
-        .otherwise(usual)
-        .cast("float")
-    )
 
-
-def _label() -> Column:
-    kind = F.col("event_type")
-    return (
-        F.when(kind == "error", 1)
-        .when((kind == "signup") & (_event() % 4 == 0), UNKNOWN_LABEL)
-        .otherwise(0)
-        .cast("int")
-    )
+LABEL_TEXT = f"""cast(case when event_type = 'error' then 1
+    when event_type = 'signup' and event_id % 4 = 0 then {UNKNOWN_LABEL} else 0 end as int)"""
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, ts`` followed by the 45 record columns."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    base = events.select(
+    base = events.selectExpr(
         *KEYS,
         "user_id",
-        F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'Z'").alias("timestamp"),
-        *(_level(k).alias(c) for k, c in enumerate(TANKS, 1)),
-        *(_status(j).alias(c) for j, c in enumerate(STATUSES, 1)),
-        *(_pressure(x).alias(c) for x, c in enumerate(PRESSURES, 1)),
-        _label().alias(LABEL),
+        "date_format(ts, \"yyyy-MM-dd'T'HH:00:00'Z'\") as timestamp",
+        *(f"{_level(k)} as {c}" for k, c in enumerate(TANKS, 1)),
+        *(f"{_status(j)} as {c}" for j, c in enumerate(STATUSES, 1)),
+        *(f"{_pressure(x)} as {c}" for x, c in enumerate(PRESSURES, 1)),
+        f"{LABEL_TEXT} as {LABEL}",
     )
-    flows = {f: _flow(j, a).alias(f) for j, (f, a) in enumerate(zip(FLOWS, ACTUATORS), 1)}
-    return base.select(*KEYS, "user_id", *(flows.get(c, F.col(c)) for c in RECORD))
+    flows = {f: f"{_flow(j, a)} as {f}" for j, (f, a) in enumerate(zip(FLOWS, ACTUATORS), 1)}
+    return base.selectExpr(*KEYS, "user_id", *(flows.get(c, c) for c in RECORD))
 
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +85,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         if column == LABEL:
             return value.cast("string")
         printed = value.cast("double").cast("decimal(10,2)").cast("string")
-        return F.when(_event() % 131 == 5, F.lit("n/a")).otherwise(printed) if column == "L_T6" else printed
+        return F.when(F.col("event_id") % 131 == 5, F.lit("n/a")).otherwise(printed) if column == "L_T6" else printed
 
     return wide.select(*KEYS, *(text(c).alias(c) for c in RAW_RECORD))
 
@@ -119,9 +98,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     quoted = F.regexp_replace(good, r'"L_T1":([0-9.]+)', r'"L_T1":"$1"')
     fractional = F.regexp_replace(good, r'"S_PU1":([01])', r'"S_PU1":$1.5')
     value = (
-        F.when(_event() % 137 == 0, cut)
-        .when(_event() % 139 == 0, quoted)
-        .when(_event() % 149 == 0, fractional)
+        F.when(F.col("event_id") % 137 == 0, cut)
+        .when(F.col("event_id") % 139 == 0, quoted)
+        .when(F.col("event_id") % 149 == 0, fractional)
         .otherwise(good)
     )
-    return wide.select(*KEYS, _event().cast("string").alias("key"), value.alias("value"))
+    return wide.select(*KEYS, F.col("event_id").cast("string").alias("key"), value.alias("value"))
