@@ -156,17 +156,20 @@ def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id")
         any_of(F.col(TIME) == F.col(time_of(f)) for f in fields)
     )
 
-    def key_at_latest(f: str) -> Column:
-        return F.when((F.col(TIME) == F.col(time_of(f))) & F.col(f).isNotNull(), F.col(key))
-
-    values = candidates.groupBy(SERIES).agg(
-        *(F.max_by(F.col(f).cast("double"), key_at_latest(f)).alias(f) for f in fields),
-        *(F.max(time_of(f)).alias(time_of(f)) for f in fields),
-    )
     pairs = F.array(
-        *(F.struct(F.lit(f).alias("field"), F.col(time_of(f)).alias("_time"), F.col(f).alias("value")) for f in fields)
+        *(
+            F.struct(
+                F.lit(f).alias("field"), F.col(time_of(f)).alias("_time"), F.col(f).cast("double").alias("value")
+            )
+            for f in fields
+        )
+    )
+    at_latest = candidates.select(SERIES, TIME, key, F.inline(pairs)).filter(
+        (F.col("_time") == F.col(TIME)) & F.col("value").isNotNull()
+    )
+    return at_latest.groupBy(SERIES, "field").agg(
+        F.max("_time").alias("_time"), F.max_by("value", key).alias("value")
     )
-    return values.select(SERIES, F.inline(pairs)).filter("value is not null")
 
 
 def pivot_latest(df: DataFrame, fields: list[str], key: str = "event_id") -> DataFrame:
