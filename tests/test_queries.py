@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import difference, sql_frame
+from weirflow.plans import catalog, oracle
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.statements()
 WITHOUT_TWIN = {"ml_predict", "ml_feature_importances"}
 
 
