@@ -52,6 +52,11 @@ _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _IS_WORD = np.array([b >= 0x80 or chr(b).isdigit() or chr(b).islower() for b in range(256)])
 
 
+def _keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes as non-negative keys of a lookup table."""
+    return (hashes(data, starts, lengths) >> np.uint64(1)).view(np.int64)
+
+
 class Words:
     """Words of a chunk of texts: place of each, its text and its block."""
 
@@ -70,7 +75,7 @@ class Words:
         self.text = np.searchsorted(ends, self.starts, side="right")
         breaks = border[:-1] | (np.append(0, self.data[:-1]) == 0x0A)
         self.block = np.cumsum(breaks)[self.starts] if len(data) else self.starts
-        self.hashes = hashes(self.data, self.starts, self.lengths).view(np.int64)
+        self.hashes = _keys(self.data, self.starts, self.lengths)
         self.per_text = np.bincount(self.text, minlength=len(lengths))
         #: Number of a word within its text.
         self.number = np.arange(len(self.starts)) - starts_of(self.per_text)[self.text]
@@ -79,7 +84,7 @@ class Words:
 def _word_hashes(words: list[str]) -> np.ndarray:
     raw = [w.encode() for w in words]
     lengths = np.array([len(r) for r in raw], np.int64)
-    return hashes(np.frombuffer(b"".join(raw), np.uint8), starts_of(lengths), lengths).view(np.int64)
+    return _keys(np.frombuffer(b"".join(raw), np.uint8), starts_of(lengths), lengths)
 
 
 def template_words(templates: dict[str, str]) -> list[str]:
@@ -244,8 +249,8 @@ def _sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
 x AS (SELECT r, doc_id, t, regexp_extract_all(t, {word}) AS w FROM d),
-p AS (SELECT r, i - 1 AS at, CASE {labels} END AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM x) WHERE {conditions}),
-b AS (SELECT r, count(*) AS n, min(at) AS f, max(at) AS l, list(DISTINCT label) AS labels FROM p GROUP BY r),
+p AS (SELECT r, i - 1 AS place, CASE {labels} END AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM x) WHERE {conditions}),
+b AS (SELECT r, count(*) AS n, min(place) AS f, max(place) AS l, list(DISTINCT label) AS labels FROM p GROUP BY r),
 k AS (SELECT r, list_distinct(regexp_extract_all(line, {word})) AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM x)),
 m AS (SELECT label, list_distinct(tw) AS words, need FROM ({templates})),
 h AS (SELECT r, label, max(len(list_intersect(k.words, m.words)) / len(m.words)) AS share FROM k, m

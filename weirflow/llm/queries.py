@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weirflow.llm import licences
+from weirflow.llm.licences import op9_licences
+from weirflow.llm.private_spans import op8_private_spans
 from weirflow.llm.token_codec import op6_token_codec
 from weirflow.llm.token_counts import op2_token_counts
 
@@ -13,9 +16,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    every = (op2_token_counts, op6_token_codec)
+    every = (op2_token_counts, op6_token_codec, op8_private_spans, op9_licences)
     return {query.__name__: query for query in every}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op9_licences": licences.SQL}
