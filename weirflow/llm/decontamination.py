@@ -154,7 +154,7 @@ def _windows(places: list[int], m: int, n: int) -> list[tuple[int, int]]:
 
 
 def _aligner(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (doc_id, text, candidates: item_id, words, places) to rows per leaked item."""
+    """Rows (doc_id, text, candidates: item_id, words, places; text_key) to rows per leaked item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, words in _chunks(batches):
@@ -177,13 +177,13 @@ def _aligner(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                     if (value := (p / len(item) + 1) / 2) >= similarity - 1e-9:
                         out.append((text, item_id, value, a + e))
                 del widest
-            ids = rows.column(0).to_pylist()
+            ids, keys = rows.column(0).to_pylist(), rows.column(3).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([ids[o[0]] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                    pa.array([ids[o[0]] for o in out], pa.int64()), pa.array([keys[o[0]] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
                     pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.int64()),
                 ],
-                ["doc_id", "item_id", "similarity", "end_word"],
+                ["doc_id", "text_key", "item_id", "similarity", "end_word"],
             )
 
     return run
@@ -229,7 +229,10 @@ def slot_bits(pairs: DataFrame) -> np.ndarray:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, item_id, similarity, end_word``: every text and item whose best alignment reaches the threshold."""
+    """Every text and item whose best alignment reaches the threshold: ``doc_id, text_key, item_id, similarity, end_word``.
+
+    ``text_key`` is ``xxhash64(text)``, which tells texts of one id apart.
+    """
     spark = docs.sparkSession
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
@@ -252,14 +255,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     )
     once = texts.withColumnRenamed("doc_id", "d").withColumnRenamed("text_key", "t")
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key"))
-    found = once.join(per_text, same).select("doc_id", "text", "candidates").mapInArrow(
-        _aligner(similarity), "doc_id long, item_id long, similarity double, end_word long"
+    found = once.join(per_text, same).select("doc_id", "text", "candidates", "text_key").mapInArrow(
+        _aligner(similarity), "doc_id long, text_key long, item_id long, similarity double, end_word long"
     )
     best = F.max(F.struct("similarity", -F.col("end_word"))).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", "best.similarity", (-F.col("best.col2")).alias("end_word")
+    return found.groupBy("doc_id", "text_key", "item_id").agg(best).select(
+        "doc_id", "text_key", "item_id", "best.similarity", (-F.col("best.col2")).alias("end_word")
     )
 
 
 def op1_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")

@@ -325,6 +325,36 @@ def private_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return decided(candidates, train(candidates)).drop("candidates")
 
 
+def _redacted(text: Column, spans: Column) -> Column:
+    """The text with every span replaced by its kind; spans that overlap become one gap."""
+
+    def step(state: Column, span: Column) -> Column:
+        start, end, at = span["start"], span["end"], state["at"]
+        fresh = F.concat(
+            state["out"], F.substring(text, at + 1, start - at), F.lit("["), F.upper(span["kind"]), F.lit("]")
+        )
+        return F.struct(F.greatest(at, end).alias("at"), F.when(start >= at, fresh).otherwise(state["out"]).alias("out"))
+
+    in_order = F.array_sort(F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(in_order, first, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(done)
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with every private span of ``text`` replaced; ``n_chars`` follows the text.
+
+    A null text stays null.
+    """
+    # The document travels as one struct, so no column name can clash.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), whole_text())
+    candidates = stored_candidates(whole, ["document"])
+    found = decided(candidates, train(candidates))
+    clean = found.select("document", _redacted(F.col("document.text"), F.col("spans")).alias("clean"))
+    columns = {"text": F.col("clean"), "n_chars": F.coalesce(F.length("clean").cast("long"), F.lit(0).cast("long"))}
+    return clean.select(*(columns.get(c, F.col("document").getField(c)).alias(c) for c in docs.columns))
+
+
 def op8_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private_spans(table(spark, sf_dir, "documents"))
 

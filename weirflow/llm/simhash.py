@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from weirflow.llm import ragged
 from weirflow.llm.components import components
@@ -83,7 +84,9 @@ def _fingerprint_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             counts = np.fromiter(map(len, each), np.int64, len(each))
             values = np.fromiter((h for hs in each for h in hs), np.uint64, int(counts.sum()))
             found = fingerprints(values, counts)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            others = [(batch.column(k), name) for k, name in enumerate(batch.schema.names) if name != "text"]
+            columns = [*(c.slice(a, b - a) for c, _ in others), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*(name for _, name in others), "fp"])
 
 
 def with_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -209,14 +212,35 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     path = scratch_path(spark, "fingerprints")
     with_fingerprints(docs, id_column, text_column).write.parquet(path)  # texts are read and hashed once
     every = spark.read.parquet(path)
+    return every.join(_component_of(every), "fp")
+
+
+def _component_of(every: DataFrame) -> DataFrame:
+    """``fp, component_id`` for the rows ``doc_id, fp``."""
     distinct = every.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(fingerprint_links(distinct.select("fp")))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fingerprint = rooted.join(smallest, "root").select("fp", "component_id")
-    return every.join(of_fingerprint, "fp")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.min("fp").alias("component"))
+    return rooted.join(smallest, "root").select("fp", "component_id", "component")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, one of each component: that of the smallest ``doc_id``, equal ones by their text."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "fingerprints")
+    # The document travels as one struct, so no column name can clash.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), "text")
+    kind = whole.schema["document"].dataType.simpleString()
+    whole.select(F.col("document.doc_id").alias("id"), "document", "text").mapInArrow(
+        _fingerprint_map, f"id long, document {kind}, fp long"
+    ).write.parquet(path)
+    every = spark.read.parquet(path)
+    parts = _component_of(every.select(F.col("id").alias("doc_id"), "fp"))
+    first = W.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), F.xxhash64("document.text"), "document.text")
+    ranked = every.join(parts, "fp").withColumn("place", F.row_number().over(first))
+    return ranked.filter("place = 1").select("document.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

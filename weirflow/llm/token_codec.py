@@ -224,11 +224,28 @@ def _each_chunk(path: str, batches: Iterator[pa.RecordBatch]):
 
 
 def _encoder(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Ids of every text, and whether they decode to the text again."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, ids, count in _each_chunk(path, batches):
+        for rows, v, ids, count in _each_chunk(path, batches):
             offsets = pa.array(np.append(0, np.cumsum(count)), pa.int32())
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(offsets, pa.array(ids))],
-                                             names=[*rows.schema.names, "ids"])
+            flat, sizes = decode_bytes(v, ids, count)
+            raw, starts, lengths = ragged.utf8_column(rows, "text")
+            same_size = sizes == lengths
+            source = raw[int(starts[0]) : int(starts[-1] + lengths[-1])]
+            ends = np.append(0, np.cumsum(sizes))
+            if same_size.all():
+                wrong = np.append(0, np.cumsum(flat != source))
+                exact = wrong[ends[1:]] == wrong[ends[:-1]]
+            else:
+                exact = np.array([
+                    bytes(flat[ends[k] : ends[k + 1]]) == bytes(raw[s : s + n])
+                    for k, (s, n) in enumerate(zip(starts, lengths, strict=True))
+                ])
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(exact)],
+                names=[*rows.schema.names, "ids", "round_trip"],
+            )
 
     return run
 
@@ -265,8 +282,10 @@ def _narrow(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, text, ids`` with the exact token ids of every text."""
-    return _narrow(docs, id_column, text_column).mapInArrow(_encoder(vocabulary), "doc_id long, text string, ids array<int>")
+    """``doc_id, text, ids, round_trip``: the exact token ids of every text, and whether they decode to it."""
+    return _narrow(docs, id_column, text_column).mapInArrow(
+        _encoder(vocabulary), "doc_id long, text string, ids array<int>, round_trip boolean"
+    )
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
