@@ -88,7 +88,7 @@ def split(data: np.ndarray, lengths: np.ndarray) -> Words:
 
 
 @lru_cache(maxsize=1)
-def _mixers() -> tuple[np.ndarray, np.uint64]:
+def byte_mixers() -> tuple[np.ndarray, np.uint64]:
     random = np.random.default_rng(20240917)
     return random.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,7 +97,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     """64-bit hash of every slice: sum of mixed bytes times powers of an odd base, and the length."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    table, base = _mixers()
+    table, base = byte_mixers()
     inside = positions(np.zeros(len(starts), np.int64), lengths)
     longest = int(lengths.max())
     powers = np.ones(longest, np.uint64)

@@ -13,6 +13,7 @@ from weirflow.llm.neighbours import op5_neighbours
 from weirflow.llm.private_spans import op8_private_spans
 from weirflow.llm.quality import op4_quality
 from weirflow.llm.simhash import op7_simhash
+from weirflow.llm.substrings import op3_substrings
 from weirflow.llm.token_codec import op6_token_codec
 from weirflow.llm.token_counts import op2_token_counts
 
@@ -20,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_leaks, op2_token_counts, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences)
+    every = (op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences)
     return {query.__name__: query for query in every}
 
 
