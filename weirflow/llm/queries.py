@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weirflow.llm import licences
+from weirflow.llm.debruijn import op10_debruijn
 from weirflow.llm.decontamination import op1_leaks
 from weirflow.llm.licences import op9_licences
 from weirflow.llm.neighbours import op5_neighbours
@@ -21,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences)
+    every = (op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences, op10_debruijn)
     return {query.__name__: query for query in every}
 
 

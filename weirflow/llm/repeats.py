@@ -64,9 +64,11 @@ class Runs(NamedTuple):
     content: np.ndarray
     #: Index of the first item in the chunk.
     at: np.ndarray
+    #: Whether the minimizer stands in the run more than once, so that a window may repeat another of the same run.
+    doubled: np.ndarray
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX
     return x ^ (x >> np.uint64(31))
 
@@ -100,8 +102,9 @@ def find_runs(items: np.ndarray, counts: np.ndarray, kind: Kind) -> Runs:
     """Runs of all windows of all texts of a chunk."""
     none = np.zeros(0, np.int64)
     if len(items) < kind.length:
-        return Runs(none, none, none, none.astype(np.uint64), none.astype(np.uint64), none)
-    minimizer = sliding_min(_mixed(sliding_hash(items, kind.gram)), kind.reach)
+        return Runs(none, none, none, none.astype(np.uint64), none.astype(np.uint64), none, none.astype(bool))
+    grams = mixed(sliding_hash(items, kind.gram))
+    minimizer = sliding_min(grams, kind.reach)
     starts = starts_of(counts)
     n = np.maximum(counts - kind.length + 1, 0)
     whole = np.zeros(len(minimizer) + 1, bool)  # windows inside one text
@@ -124,8 +127,13 @@ def find_runs(items: np.ndarray, counts: np.ndarray, kind: Kind) -> Runs:
         at, windows = np.repeat(at, pieces) + k * RUN_LIMIT, np.minimum(left, RUN_LIMIT)
     sums = np.append(np.uint64(0), np.cumsum(items * _powers(len(items))[0]))
     end = at + windows + kind.length - 1
-    content = _mixed((sums[end] - sums[at]) * _powers(len(items))[1][at] + windows.astype(np.uint64))
-    return Runs(text, at - starts[text], windows, minimizer[at], content, at)
+    content = mixed((sums[end] - sums[at]) * _powers(len(items))[1][at] + windows.astype(np.uint64))
+    doubled = np.zeros(len(at), bool)
+    if kind.within and len(at):
+        width = windows + kind.reach - 1
+        equal = grams[positions(at, width)] == np.repeat(minimizer[at], width)
+        doubled = np.add.reduceat(equal, starts_of(width), dtype=np.int64) > 1
+    return Runs(text, at - starts[text], windows, minimizer[at], content, at, doubled)
 
 
 _POWER_CACHE: list[tuple[np.ndarray, np.ndarray]] = []
@@ -164,7 +172,10 @@ def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.array([raw[a * size : b * size] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
 
 
-_PACKED = "bucket int, settled boolean, minimizers binary, contents binary, leads binary, keys binary, places binary"
+_PACKED = (
+    "bucket int, settled boolean, minimizers binary, contents binary, leads binary, keys binary, places binary, windows binary, "
+    "s_leads binary, s_keys binary, s_places binary"
+)
 _SELF = np.uint32(1 << 31)  # mark of a run that may repeat itself
 
 
@@ -179,10 +190,10 @@ def _pack(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             lead, key = _column(rows, 0)[r.text], _column(rows, 1)[r.text]
             place = r.place.astype(np.uint32)
             if kind.within:
-                place = np.where(r.windows > kind.reach, place | _SELF, place)
+                place = np.where(r.doubled, place | _SELF, place)
             # Equal runs of the block: those after the first of the smallest id are settled here.
             order = np.lexsort((r.place, key, lead, r.content, r.minimizer))
-            settled = _later(order, r.minimizer, r.content, lead, key, r.place, kind.within)
+            settled, source = _later(order, r.minimizer, r.content, lead, key, r.place, kind.within)
             home = (r.minimizer % np.uint64(buckets)).astype(np.int64)
             # Settled runs go anywhere; where they come from decides, not what they hold.
             bucket = np.where(settled, np.arange(len(home)) * 64 // max(1, len(home)) % buckets, home)
@@ -194,17 +205,33 @@ def _pack(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                     pa.array(bucket[order][cuts[:-1]].astype(np.int32)), pa.array(settled[order][cuts[:-1]]),
                     _blobs((r.minimizer // np.uint64(buckets))[order].astype(np.uint32), cuts), _blobs(r.content[order], cuts),
                     _blobs(lead[order], cuts), _blobs(key[order], cuts), _blobs(place[order], cuts),
+                    *_extra(kind.within, r, lead, key, source, settled, order, cuts),
                 ],
-                names=["bucket", "settled", "minimizers", "contents", "leads", "keys", "places"],
+                names=["bucket", "settled", "minimizers", "contents", "leads", "keys", "places", "windows", "s_leads", "s_keys", "s_places"],
             )
 
     return run
 
 
+def _extra(
+    wanted: bool, r: Runs, lead: np.ndarray, key: np.ndarray, source: np.ndarray, settled: np.ndarray, order: np.ndarray, cuts: np.ndarray
+) -> list[pa.Array]:
+    """Numbers of windows, and sources of settled runs, where sources are asked for; else nulls."""
+    if not wanted:
+        return [pa.nulls(len(cuts) - 1, pa.binary())] * 4
+    own = settled[order]
+    few = np.append(0, np.cumsum(own))[cuts]
+    at = source[order][own]
+    return [
+        _blobs(r.windows[order].astype(np.uint16), cuts), _blobs(lead[at], few), _blobs(key[at], few),
+        _blobs(r.place[at].astype(np.uint32), few),
+    ]
+
+
 def _later(
     order: np.ndarray, minimizer: np.ndarray, content: np.ndarray, lead: np.ndarray, key: np.ndarray, place: np.ndarray, within: bool
-) -> np.ndarray:
-    """Runs whose content stands in a text with a smaller id, or earlier in their own text.
+) -> tuple[np.ndarray, np.ndarray]:
+    """Runs whose content stands in a text with a smaller id, or earlier in their own text; and the run where it does.
 
     ``order`` sorts by minimizer, content, id, text and place. A repeated row is its own text, not an earlier one.
     """
@@ -212,21 +239,26 @@ def _later(
     new = np.ones(len(order), bool)
     new[1:] = (m[1:] != m[:-1]) | (c[1:] != c[:-1])
     rank = np.arange(len(order))
-    later = i > i[np.maximum.accumulate(np.where(new, rank, 0))]
+    first = np.maximum.accumulate(np.where(new, rank, 0))
+    later = i > i[first]
     if within:
-        own = new.copy()
-        own[1:] |= (i[1:] != i[:-1]) | (k[1:] != k[:-1])
-        later |= p > p[np.maximum.accumulate(np.where(own, rank, 0))]
-    out = np.zeros(len(order), bool)
-    out[order] = later
-    return out
+        own_new = new.copy()
+        own_new[1:] |= (i[1:] != i[:-1]) | (k[1:] != k[:-1])
+        own = np.maximum.accumulate(np.where(own_new, rank, 0))
+        first = np.where(later, first, own)
+        later |= p > p[own]
+    out, source = np.zeros(len(order), bool), np.zeros(len(order), np.int64)
+    out[order], source[order] = later, order[first]
+    return out, source
 
 
 def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), kind)
+    return np.frombuffer(b"".join(x.as_py() or b"" for x in table.column(name)), kind)
 
 
 _REPLIES = "lead long, key long, settled binary, open binary"
+#: Windows begin to end of a text repeat those of the source from s_begin on.
+PIECES = "lead long, key long, begin long, end long, s_lead long, s_key long, s_begin long"
 
 
 def _judge(within: bool) -> Callable[[pa.Table], pa.Table]:
@@ -239,7 +271,7 @@ def _judge(within: bool) -> Callable[[pa.Table], pa.Table]:
         lead, key = _joined(table, "leads", np.int64), _joined(table, "keys", np.int64)
         place = _joined(table, "places", np.uint32)
         order = np.lexsort((place & ~_SELF, key, lead, content, minimizer))
-        later = _later(order, minimizer, content, lead, key, place & ~_SELF, within)
+        later, source = _later(order, minimizer, content, lead, key, place & ~_SELF, within)
         # Of the runs left, those of one minimizer are open if they differ in content, and in text unless repeats
         # within a text count.
         m, c, i = minimizer[order], content[order], lead[order]
@@ -256,6 +288,8 @@ def _judge(within: bool) -> Callable[[pa.Table], pa.Table]:
             opened |= (place & _SELF) > 0
         opened &= ~later
         status = np.where(later, 1, np.where(opened, 2, 0))
+        if within:
+            return _open_and_pieces(table, known, lead, key, place & ~_SELF, source, status)
         lead = np.concatenate([lead, _joined(known, "leads", np.int64)])
         key = np.concatenate([key, _joined(known, "keys", np.int64)])
         place = np.concatenate([place, _joined(known, "places", np.uint32)]) & ~_SELF
@@ -266,6 +300,28 @@ def _judge(within: bool) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def _open_and_pieces(
+    table: pa.Table, known: pa.Table, lead: np.ndarray, key: np.ndarray, place: np.ndarray, source: np.ndarray, status: np.ndarray
+) -> pa.Table:
+    """Rows of settled runs with their sources, and of open runs (no source)."""
+    windows = np.concatenate([_joined(table, "windows", np.uint16), _joined(known, "windows", np.uint16)]).astype(np.int64)
+    at = source[status == 1]
+    s_lead, s_key, s_place = (np.zeros(len(status), np.int64) for _ in range(3))
+    s_lead[status == 1], s_key[status == 1], s_place[status == 1] = lead[at], key[at], place[at]
+    begin = np.concatenate([place, _joined(known, "places", np.uint32) & ~_SELF]).astype(np.int64)
+    status = np.concatenate([status, np.ones(len(windows) - len(status), np.int64)])
+    columns = {
+        "lead": np.concatenate([lead, _joined(known, "leads", np.int64)]),
+        "key": np.concatenate([key, _joined(known, "keys", np.int64)]),
+        "begin": begin, "end": begin + windows,
+        "s_lead": np.concatenate([s_lead, _joined(known, "s_leads", np.int64)]),
+        "s_key": np.concatenate([s_key, _joined(known, "s_keys", np.int64)]),
+        "s_begin": np.concatenate([s_place, _joined(known, "s_places", np.uint32).astype(np.int64)]),
+    }
+    columns["s_begin"] = np.where(status == 1, columns["s_begin"], -1)
+    return pa.table({name: values[status > 0] for name, values in columns.items()})
+
+
 def _replies(lead: np.ndarray, key: np.ndarray, place: np.ndarray, status: np.ndarray) -> pa.Table:
     order = np.lexsort((place, key, lead))
     lead, key, place, status = lead[order], key[order], place[order], status[order]
@@ -363,10 +419,10 @@ RANGES = "lead long, key long, begins binary, ends binary"
 class Found(NamedTuple):
     #: lead, key, text: every row of the input.
     texts: DataFrame
-    #: lead, key, settled: places of runs that repeat as a whole.
+    #: What the buckets of hashes settle: lead, key, settled (places of runs), or pieces where repeats within a text count.
     settled: DataFrame
-    #: lead, key, begins, ends: window ranges found by the shards.
-    ranges: DataFrame
+    #: What ``work`` finds.
+    shards: DataFrame
 
 
 def addressed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -376,19 +432,32 @@ def addressed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return docs.select(lead, text).select("lead", F.xxhash64("text").alias("key"), "text")
 
 
-def find_repeats(docs: DataFrame, kind: Kind, work: Callable[[pa.Table], pa.Table]) -> Found:
-    """Runs all steps; ``work`` turns the packed contents of one bucket into window ranges."""
+def _packed_places(rows: pa.Table) -> pa.Table:
+    return _replies(*(rows.column(c).to_numpy() for c in ("lead", "key")), rows.column("begin").to_numpy().astype(np.uint32),
+                    np.full(len(rows), 2))
+
+
+def _open_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from _packed_places(pa.Table.from_batches([batch])).to_batches()
+
+
+def find_repeats(docs: DataFrame, kind: Kind, work: Callable[[pa.Table], pa.Table], result: str) -> Found:
+    """Runs all steps; ``work`` turns the packed contents of one bucket into rows of the schema ``result``."""
     spark = docs.sparkSession
     texts = addressed(docs)
     total = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // BUCKET_BYTES))
     packed = texts.mapInArrow(_pack(kind, buckets), _PACKED)
-    path = scratch_path(spark, "replies")
-    packed.groupBy("bucket").applyInArrow(_judge(kind.within), _REPLIES).write.parquet(path)
+    path, shard_path = scratch_path(spark, "replies"), scratch_path(spark, "shards")
+    packed.groupBy("bucket").applyInArrow(_judge(kind.within), PIECES if kind.within else _REPLIES).write.parquet(path)
     replies = spark.read.parquet(path)
-    asked = replies.filter(F.length("open") > 0).groupBy("lead", "key").agg(F.collect_list("open").alias("open"))
+    if kind.within:
+        settled = replies.filter("s_begin >= 0")
+        opened = replies.filter("s_begin < 0").select("lead", "key", "begin").mapInArrow(_open_map, _REPLIES)
+    else:
+        settled, opened = replies.filter(F.length("settled") > 0).select("lead", "key", "settled"), replies.filter(F.length("open") > 0)
+    asked = opened.groupBy("lead", "key").agg(F.collect_list("open").alias("open"))
     sent = texts.join(asked, ["lead", "key"]).select("lead", "key", "text", "open").mapInArrow(_send(kind, buckets * FINER), _SENT)
-    ranges_path = scratch_path(spark, "ranges")
-    sent.groupBy("bucket").applyInArrow(work, RANGES).write.parquet(ranges_path)
-    settled = replies.filter(F.length("settled") > 0).select("lead", "key", "settled")
-    return Found(texts, settled, spark.read.parquet(ranges_path))
+    sent.groupBy("bucket").applyInArrow(work, result).write.parquet(shard_path)
+    return Found(texts, settled, spark.read.parquet(shard_path))

@@ -116,9 +116,9 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def substring_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``docs`` (``doc_id, text``)."""
-    found = repeats.find_repeats(docs, KIND, work)
+    found = repeats.find_repeats(docs, KIND, work, repeats.RANGES)
     settled = found.settled.groupBy("lead", "key").agg(F.collect_list("settled").alias("settled"))
-    ranged = found.ranges.groupBy("lead", "key").agg(F.collect_list("begins").alias("begins"), F.collect_list("ends").alias("ends"))
+    ranged = found.shards.groupBy("lead", "key").agg(F.collect_list("begins").alias("begins"), F.collect_list("ends").alias("ends"))
     known = settled.join(ranged, ["lead", "key"], "full")
     whole = found.texts.join(known, ["lead", "key"], "left").select("lead", "key", "text", "settled", "begins", "ends")
     done = whole.mapInArrow(_finish, "lead long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
