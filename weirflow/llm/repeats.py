@@ -29,11 +29,11 @@ from weirflow.llm.ragged import positions, starts_of
 from weirflow.session import scratch_path
 
 NO_ID = 2**63 - 1
-CHUNK_ITEMS = 4 << 20
+CHUNK_ITEMS = 1 << 20
 #: Bytes of text behind one bucket, on average.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Contents are dealt to so many times more buckets than hashes: they take more memory.
-FINER = 8
+FINER = 4
 #: Windows of one run at most; a longer one (periodic text) is cut.
 RUN_LIMIT = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -27,7 +27,7 @@ from weirflow.llm.suffixes import repeated_prefix, suffix_array
 from weirflow.llm.tables import table
 
 LENGTH = 50
-GRAM = 12
+GRAM = 20
 
 
 def byte_items(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
