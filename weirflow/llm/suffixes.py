@@ -3,8 +3,8 @@
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour. The leftmost S of every run of S
 starts a substring; these are sorted by inducing, named, and the string of names is sorted recursively. From the order of
 the leftmost-S suffixes all others are induced in two linear scans. A scan takes a bucket (a first symbol)
-at a time: what is already in it is pushed on as one array. For that a string must have few symbols, so a string of
-names is written with two digits per name before it is sorted.
+at a time: what is already in it is pushed on as one array. That pays while buckets are few: a string of more than
+``SYMBOLS`` different names is sorted by doubling ranks, which ends the recursion.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ import numpy as np
 
 from weirflow.llm.ragged import positions
 
+SYMBOLS = 512
+_ZERO = np.zeros(1, np.int64)
+
 
 def _types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one to its right; the last is smaller than nothing, by convention S."""
@@ -26,11 +29,13 @@ def _place(order: np.ndarray, symbols: np.ndarray, pointer: np.ndarray, step: in
     """Puts suffixes, in order, at the pointers of their symbols and moves the pointers."""
     by = np.argsort(symbols, kind="stable")
     symbols = symbols[by]
-    new = np.append(True, symbols[1:] != symbols[:-1])
-    begin = np.flatnonzero(new)
-    rank = np.arange(len(symbols)) - begin[np.cumsum(new) - 1]
-    out[pointer[symbols] + step * rank] = order[by]
-    pointer[symbols[begin]] += step * np.diff(np.append(begin, len(symbols)))
+    begin = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
+    begin = np.concatenate([_ZERO, begin])
+    size = np.concatenate([begin[1:], [len(symbols)]]) - begin
+    first = symbols[begin]
+    shift = pointer[first] - step * begin
+    out[np.repeat(shift, size) + step * np.arange(len(symbols))] = order[by]
+    pointer[first] += step * size
 
 
 def _induce(t: np.ndarray, smaller: np.ndarray, counts: np.ndarray, leftmost: np.ndarray) -> np.ndarray:
@@ -73,6 +78,22 @@ def _induce(t: np.ndarray, smaller: np.ndarray, counts: np.ndarray, leftmost: np
     return out
 
 
+def _by_doubling(rank: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a string of many symbols: ranks of twice as many symbols in every round."""
+    size, width = len(rank), 1
+    while True:
+        after = np.zeros(size, np.int64)
+        after[: size - width] = rank[width:] + 1
+        key = rank * (size + 1) + after
+        order = np.argsort(key)
+        key = key[order]
+        rank = np.empty(size, np.int64)
+        rank[order] = np.append(0, np.cumsum(key[1:] != key[:-1]))
+        if rank[order[-1]] == size - 1:
+            return order
+        width *= 2
+
+
 def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
     """Order of all suffixes of ``t``, whose last symbol is 0 and stands nowhere else."""
     smaller = _types(t)
@@ -102,11 +123,10 @@ def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
     if names[-1] + 1 < len(k):
         name = np.empty(len(k), np.int64)
         name[k] = names
-        base = int(np.ceil(np.sqrt(names[-1] + 1)))
-        digits = np.zeros(2 * len(k) + 1, np.uint16 if base < 65535 else np.int64)
-        digits[:-1:2], digits[1::2] = name // base + 1, name % base + 1
-        order = suffix_array(digits, base + 1)
-        order = order[(order % 2 == 0) & (order < 2 * len(k))] // 2
+        if names[-1] < SYMBOLS:
+            order = suffix_array(np.append(name + 1, 0).astype(np.uint16), int(names[-1]) + 2)[1:]
+        else:
+            order = _by_doubling(name)
         in_order = leftmost[order]
     return _induce(t, smaller, counts, in_order)
 
