@@ -79,3 +79,17 @@ def test_parsing_of_damaged_text(spark):
 def test_binary_message_values(spark):
     df = spark.createDataFrame([(bytearray(b'{"L_T1": 2.5}'),)], "value binary")
     assert P.parse(df, []).first()["L_T1"] == 2.5
+
+
+def test_export_keeps_readings_of_any_size(spark):
+    df = frame(spark, record(F_V2=1e25), record(F_V2=float("nan")), record(F_V2=None))
+    got = [r["F_V2"] for r in P.export_view(df, []).collect()]
+    assert got[0].startswith("1") and got[0].endswith(".000000") and len(got[0]) == 33 and got[1:] == [None, None]
+
+
+def test_summary_counts_what_the_problem_list_shows(spark):
+    df = P.to_payload(frame(spark, record(L_T1=None, S_PU1=3), record(L_T1=float("nan")), record(F_V2=900.0), record()), [])
+    listed = P.with_problems(df).selectExpr("inline(problems)").groupBy("field", "kind").count().collect()
+    got = {(r["field"], r["kind"]): r["n"] for r in P.summary(df).collect()}
+    assert got.pop(("*", "skipped")) == 3
+    assert got == {(r["field"], r["kind"]): r["count"] for r in listed}

@@ -23,15 +23,15 @@ def run(spark, path, root, checkpoint, **options):
 
 def test_stream_equals_replay(spark, message_path):
     root = scratch_path(spark, "tables")
-    query = run(spark, message_path, root, scratch_path(spark, "checkpoint"), max_files=1)
-    silver = pipeline.read_layer(spark, root, "silver").drop("batch_id", "date", "ingested_at")
+    run(spark, message_path, root, scratch_path(spark, "checkpoint"), max_files=1)
+    silver = pipeline.read_layer(spark, root, "silver").drop("run", "batch_id", "date", "ingested_at")
     batch = pipeline.replay(streams.replay_text_messages(spark, message_path))
     assert difference(silver.toPandas(), batch.toPandas()) is None
     bronze = pipeline.read_layer(spark, root, "bronze")
     assert bronze.count() == streams.replay_text_messages(spark, message_path).count()
     gold = pipeline.read_layer(spark, root, "gold")
     assert gold.count() == C.gold(batch).count()
-    assert sum(rows for _, rows in pipeline.progress(query)) == bronze.count()
+    assert pipeline.progress(spark, root).agg(F.sum("messages")).first()[0] == bronze.count()
 
 
 def test_restart_continues_and_adds_nothing_twice(spark, message_path):
@@ -44,7 +44,7 @@ def test_restart_continues_and_adds_nothing_twice(spark, message_path):
 
 def test_a_repeated_batch_replaces_itself(spark, message_path):
     root = scratch_path(spark, "tables")
-    write = pipeline.table_writer(root)
+    write = pipeline.table_writer(root, "run-a")
     batch = streams.replay_text_messages(spark, message_path)
     write(batch, 3)
     first = pipeline.read_layer(spark, root, "silver").count()
@@ -52,9 +52,54 @@ def test_a_repeated_batch_replaces_itself(spark, message_path):
     assert pipeline.read_layer(spark, root, "silver").count() == first
 
 
+def test_a_new_checkpoint_in_the_same_root_loses_nothing(spark, message_path):
+    root = scratch_path(spark, "tables")
+    messages = streams.replay_text_messages(spark, message_path).count()
+    run(spark, message_path, root, scratch_path(spark, "checkpoint"))
+    once = pipeline.read_layer(spark, root, "silver").count()
+    run(spark, message_path, root, scratch_path(spark, "checkpoint"))
+    assert pipeline.read_layer(spark, root, "bronze").count() == 2 * messages
+    silver = pipeline.read_layer(spark, root, "silver")
+    assert silver.count() == 2 * once and pipeline.distinct_records(silver).count() == once
+    target = scratch_path(spark, "compact")
+    pipeline.compact(spark, root, "silver", target)
+    assert spark.read.parquet(target).count() == once
+
+
+def test_readers_never_see_half_a_batch(spark, message_path):
+    root = scratch_path(spark, "tables")
+    batch = streams.replay_text_messages(spark, message_path)
+    pipeline.table_writer(root, "run-a")(batch, 0)
+    first = pipeline.read_layer(spark, root, "silver").count()
+    # The next batch came as far as its data, but not to its marker.
+    half = pipeline.read_layer(spark, root, "silver").drop("run", "batch_id")
+    half.write.partitionBy("date").parquet(pipeline.layer(root, "silver", "run-a", 1))
+    assert pipeline.read_layer(spark, root, "silver").count() == first
+
+
+def test_corrupt_messages_are_kept_with_their_text(spark, message_path):
+    root = scratch_path(spark, "tables")
+    bad = spark.createDataFrame([("{broken",), ('{"L_T1": "x"}',)], "value string")
+    pipeline.table_writer(root, "run-a")(bad.union(streams.replay_text_messages(spark, message_path).limit(5)), 0)
+    rejects = {r["value"] for r in pipeline.read_layer(spark, root, "rejects").collect()}
+    assert {"{broken", '{"L_T1": "x"}'} <= rejects and len(rejects) <= 7
+
+
+def test_the_report_covers_all_batches(spark, message_path):
+    root = scratch_path(spark, "tables")
+    write = pipeline.table_writer(root, "run-a")
+    one = streams.replay_text_messages(spark, message_path).limit(1).cache()
+    for batch_id in range(105):
+        spark.createDataFrame([(7, 7, 0)], pipeline._COUNTS).coalesce(1).write.parquet(
+            pipeline.layer(root, pipeline.COMMITS, "run-a", batch_id)
+        )
+    write(one, 104)  # already marked: untouched
+    assert pipeline.progress(spark, root).count() == 105
+
+
 def test_an_empty_batch_writes_nothing(spark, message_path):
     root = scratch_path(spark, "tables")
-    pipeline.table_writer(root)(streams.replay_text_messages(spark, message_path).limit(0), 0)
+    pipeline.table_writer(root, "run-a")(streams.replay_text_messages(spark, message_path).limit(0), 0)
     with pytest.raises(Exception):
         pipeline.read_layer(spark, root, "silver")
 
@@ -80,6 +125,11 @@ def test_closed_windows_only(spark, message_path):
 def test_topic_settings_come_from_the_environment(monkeypatch):
     monkeypatch.setenv("KAFKA_BROKER", "b:1")
     monkeypatch.setenv("KAFKA_TOPIC", "t")
+    with pytest.raises(ValueError):
+        monkeypatch.delenv("KAFKA_TOPIC")
+        streams.JobConfig.from_env()
+    monkeypatch.setenv("KAFKA_TOPIC", "t")
+    assert "maxOffsetsPerTrigger" not in streams.topic_options(streams.JobConfig.from_env())
     monkeypatch.setenv("MAX_OFFSETS_PER_TRIGGER", "50")
     options = streams.topic_options(streams.JobConfig.from_env())
     assert options == {

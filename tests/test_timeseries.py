@@ -75,17 +75,17 @@ def test_windows_are_stamped_with_their_end(spark):
     assert [(r["_time"].second, r["value"]) for r in got] == [(10, 2.0), (20, 5.0), (45, 7.0)]
 
 
-def test_first_n_is_bounded_before_the_shuffle(spark):
+def test_first_n_multiplies_only_what_stays(spark):
     df = flagged(spark, *((i, {}) for i in range(6)))
     first = TS.first_n(df, ["L_T1", "L_T6"], 2)
     assert first.count() == 4
     plan = first._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert "Expand" not in plan[plan.rindex("Window "):]
 
 
 def test_status_and_probes(spark):
     df = flagged(spark, (0, {"ATT_FLAG": 0}), (70, {"ATT_FLAG": 1}))
-    assert TS.status_now(df, "ATT_FLAG").first()["status"] == "ATTACK DETECTED"
+    assert TS.status_now(df, "ATT_FLAG").filter("alert_type = 'NORMAL'").first()["status"] == "ATTACK DETECTED"
     assert tuple(TS.freshness(df, "60 SECOND", TS.newest(df)).first()) == (1, True)
     presence = {r["field"]: r["present"] for r in TS.field_presence(df, ["L_T1", "disp_PU3"]).collect()}
     assert presence == {"L_T1": True, "disp_PU3": False}
@@ -114,3 +114,28 @@ def test_tank_violation_limits(spark):
     got = TS.tank_violations(df, "10 seconds").toPandas()
     assert set(zip(got["tank"], got["_time"].map(lambda t: pd.Timestamp(t).second))) == {("L_T6", 10), ("L_T2", 10)}
     assert set(got["field"]) == {"violation"}
+
+
+def test_silent_windows_count_as_zero(spark):
+    df = flagged(spark, (0, {}), (300, {}))
+    got = [(r["n"], r["ok"]) for r in TS.throughput(df, "L_T1", "1 minute", 1).orderBy("_time").collect()]
+    assert got == [(1, True), (0, False), (0, False), (0, False), (0, False), (1, True)]
+
+
+def test_nan_counts_as_missing(spark):
+    df = flagged(spark, (0, {"F_V2": 1.0}), (1, {"F_V2": float("nan")}))
+    assert [r["value"] for r in TS.aggregate_window(df, ["F_V2"], "1 hour", F.avg).collect()] == [1.0]
+    assert TS.series_count(df, ["F_V2"]).first()["n"] == 1
+    assert TS.field_sum(df, ["F_V2"]).first()["value"] == 1.0
+    assert TS.last(df, ["F_V2"]).first()["value"] == 1.0
+    assert TS.points(df, ["F_V2"]).count() == 1
+    assert TS.first_n(df, ["F_V2"], 5).count() == 1
+
+
+def test_first_n_beyond_the_window_limit_of_the_optimizer(spark):
+    df = spark.range(5_000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as ts", "'t' as timestamp",
+        "'NORMAL' as alert_type", "cast(id as double) as L_T1",
+    )
+    got = TS.first_n(df, ["L_T1"], 1_001)
+    assert got.agg(F.count("*"), F.max("value")).first() == (1_001, 1_000.0)

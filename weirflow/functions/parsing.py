@@ -37,8 +37,9 @@ def sensor(text: Column) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Accepts ``1`` as well as ``1.0``; junk gives NULL."""
-    return text.try_cast("double").try_cast("int")
+    """Accepts ``1`` as well as ``1.0``; anything that is no whole number gives NULL."""
+    value = text.try_cast("double")
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
 
 def typed(column: str) -> Column:

@@ -77,7 +77,29 @@ def problems() -> Column:
 def is_valid() -> Column:
     """The same verdict as an empty problem list, without building any text.
 
-    An absent reading (NULL, and NaN as the largest number) is never within a range.
+    Columns of one range are judged by their smallest and their largest value, so there are four tests
+    and not one per column. An absent reading counts as beyond both ends; NaN is the largest number.
     """
-    within = [F.col(c).between(*RANGES[c]) for c in SENSORS] + [F.col(c).isin(0, 1) for c in STATUSES]
-    return all_of([~_time_missing(), *(F.coalesce(w, F.lit(False)) for w in within)])
+    groups: dict[tuple[float, float], list[Column]] = {}
+    for c in SENSORS:
+        groups.setdefault(tuple(RANGES[c]), []).append(F.col(c).cast("double"))
+    groups[0, 1] = [F.col(c).cast("double") for c in STATUSES]
+
+    def within(bounds: tuple[float, float], columns: list[Column]) -> Column:
+        smallest = F.least(*(F.coalesce(c, F.lit(float("-inf"))) for c in columns))
+        largest = F.greatest(*(F.coalesce(c, F.lit(float("inf"))) for c in columns))
+        return (smallest >= bounds[0]) & (largest <= bounds[1])
+
+    return all_of([~_time_missing(), *(within(bounds, columns) for bounds, columns in groups.items())])
+
+
+def problem_tests() -> dict[tuple[str, str], Column]:
+    """Whether a payload has a problem, by (field, kind): what ``problems`` lists, as plain conditions."""
+    tests = {("timestamp", "missing"): _time_missing(), ("*", "skipped"): ~is_valid()}
+    for c in SENSORS:
+        tests[c, "null"] = ~is_present(c)
+        tests[c, "range"] = is_present(c) & ~F.col(c).between(*RANGES[c])
+    for c in STATUSES:
+        tests[c, "null"] = F.col(c).isNull()
+        tests[c, "status"] = ~F.col(c).isin(0, 1)
+    return tests

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions import rules as R
@@ -32,29 +32,23 @@ def gold(flagged: DataFrame) -> DataFrame:
 
 
 def rule_violations(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Every violated rule of every record, not only the winner."""
-    states = df.unpivot(
-        keys + TANKS, [r.status for r in RULES], "status_column", "status"
-    ).filter("status is not null")
-    catalogue = constant_table(
-        df.sparkSession,
-        [(r.priority, r.actuator, r.status, r.level, r.low, r.high) for r in RULES],
-        "priority int, actuator string, status_column string, tank string, low double, high double",
-    )
-    level = F.coalesce(*(F.when(F.col("tank") == t, F.col(t)) for t in TANKS))
-    joined = states.join(catalogue, "status_column").withColumn("level", level.cast("double"))
-    too_high = (F.col("status") == 1) & (F.col("level") > F.col("high"))
-    too_low = (F.col("status") == 0) & (F.col("level") < F.col("low"))
-    return joined.filter(too_high | too_low).select(
-        *keys,
-        "priority",
-        "actuator",
-        "tank",
-        F.when(too_high, F.lit("STUCK_ON")).otherwise(F.lit("STUCK_OFF")).alias("kind"),
-        "status",
-        "level",
-        F.when(too_high, F.col("high")).otherwise(F.col("low")).alias("threshold"),
-    )
+    """Every violated rule of every record, not only the winner.
+
+    A record is multiplied only by the rules it violates.
+    """
+
+    def found(rule) -> Column:
+        status, level = F.col(rule.status), F.col(rule.level).cast("double")
+        too_high = (status == 1) & (level > rule.high)
+        too_low = (status == 0) & (level < rule.low)
+        return F.when(too_high | too_low, F.struct(
+            F.lit(rule.priority).alias("priority"), F.lit(rule.actuator).alias("actuator"), F.lit(rule.level).alias("tank"),
+            F.when(too_high, F.lit("STUCK_ON")).otherwise(F.lit("STUCK_OFF")).alias("kind"),
+            status.alias("status"), level.alias("level"),
+            F.when(too_high, F.lit(rule.high)).otherwise(F.lit(rule.low)).alias("threshold"),
+        ))
+
+    return df.select(*keys, F.inline(F.array_compact(F.array(*(found(r) for r in RULES)))))
 
 
 def rule_catalog(df: DataFrame) -> DataFrame:

@@ -3,12 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from weirflow.session import BROADCAST_ROW_LIMIT
-
 
 def constant_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A literal table; broadcast only while its (known) row count stays within the limit."""
-    table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= BROADCAST_ROW_LIMIT else table
+    """A literal table; how it is joined is decided by its size."""
+    return spark.createDataFrame(rows, schema)

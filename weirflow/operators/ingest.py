@@ -51,7 +51,8 @@ def clean(df: DataFrame, unknown: bool = True, nulls: bool = True) -> DataFrame:
 def load(sources: list[DataFrame], unknown: bool = True, nulls: bool = True, ordered: bool = True) -> DataFrame:
     """Union, normalise, clean. Ask for order only where the output is the last step."""
     table = clean(normalise(union_sources(sources)), unknown, nulls)
-    return table.orderBy("timestamp") if ordered else table
+    # The text is cut to the hour; further columns let one busy hour be sorted by many tasks.
+    return table.orderBy("timestamp", *READINGS) if ordered else table
 
 
 def cleaning_report(df: DataFrame) -> DataFrame:

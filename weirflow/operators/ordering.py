@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 
-from weirflow.session import BROADCAST_ROW_LIMIT, scratch_path
+from weirflow.session import scratch_path
 
 POSITION = "position"
 #: Rows one task of a neighbour window sorts at most (plus the reach).
@@ -43,9 +43,7 @@ def sequence(df: DataFrame, order: list[str]) -> DataFrame:
     sizes = stored.select(block.alias("_block")).groupBy("_block").agg(F.count("*").alias("_n"))
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    # One row per range partition, so the shuffle setting bounds this side.
-    if int(spark.conf.get("spark.sql.shuffle.partitions")) <= BROADCAST_ROW_LIMIT:
-        starts = F.broadcast(starts)
+    # One row per range partition; how it is joined is decided by its size.
     offset = F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         stored.withColumn("_block", block)
@@ -63,14 +61,11 @@ def over_neighbours(
 ) -> DataFrame:
     """Window columns that look back at most ``reach`` rows.
 
-    Rows are cut into chunks of equal size by position; the last ``reach`` rows of a
-    chunk are also sent to the next one, as context only.
+    Rows are cut into chunks of equal size by position; a row is also sent, as context only, to every
+    following chunk that looks back at it: the next one, or more where the reach is longer than a chunk.
     """
-    if reach > chunk_rows:
-        raise ValueError("a chunk must hold at least the rows a window looks back")
     chunk = F.floor(F.col(POSITION) / chunk_rows)
-    is_tail = F.col(POSITION) % chunk_rows >= chunk_rows - reach
-    homes = F.when(is_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    homes = F.sequence(chunk, F.floor((F.col(POSITION) + reach) / chunk_rows))
     window = W.partitionBy("_chunk").orderBy(POSITION)
     return (
         sequenced.select("*", F.explode(homes).alias("_chunk"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +35,17 @@ def to_messages(payload: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def summary(payload: DataFrame) -> DataFrame:
-    """Problems by field and kind; the row ``* / skipped`` counts the rejected payloads."""
-    skipped = F.struct(F.lit("*").alias("field"), F.lit("skipped").alias("kind"), F.lit("").alias("message"))
-    found = with_problems(payload.filter(~P.is_valid()))
-    return (
-        found.select(F.inline(F.array_append("problems", skipped)))
-        .groupBy("field", "kind")
-        .agg(F.count("*").alias("n"))
-    )
+    """Problems by field and kind; the row ``* / skipped`` counts the rejected payloads.
+
+    One aggregate of plain counts over the wide rows; no message is built, no row multiplied.
+    """
+    tests = P.problem_tests()
+    counts = payload.agg(*(F.count_if(test).alias(f"n{k}") for k, test in enumerate(tests.values())))
+    rows = F.array(*(
+        F.struct(F.lit(field).alias("field"), F.lit(kind).alias("kind"), F.col(f"n{k}").alias("n"))
+        for k, (field, kind) in enumerate(tests)
+    ))
+    return counts.select(F.inline(rows)).filter("n > 0")
 
 
 CORRUPT = "_corrupt_record"
@@ -80,10 +83,13 @@ def payload_checks(payload: DataFrame) -> DataFrame:
 
 
 def export_view(df: DataFrame, keys: list[str], decimals: int = 6) -> DataFrame:
-    """Readings as fixed-decimal text, ready for a delimited export; NaN gives an empty cell."""
-    text = [
-        F.col(c).cast("double").try_cast(f"decimal(30,{decimals})").cast("string").alias(c) for c in SENSORS
-    ]
+    """Readings as fixed-decimal text of any size, ready for a delimited export; NaN gives an empty cell."""
+
+    def fixed(column: str) -> Column:
+        value = F.col(column).cast("double")
+        return F.when(value.isNotNull() & ~F.isnan(value), F.format_string(f"%.{decimals}f", value)).alias(column)
+
+    text = [fixed(c) for c in SENSORS]
     rest = [F.col(c).cast("string").alias(c) for c in [*STATUSES, LABEL]]
     return df.select(*keys, "timestamp", *text, *rest)
 

@@ -9,7 +9,6 @@ of fields before a shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +26,16 @@ SERIES = "alert_type"
 def _values(df: DataFrame, fields: list[str]) -> list[Column]:
     """Fields as doubles; a field the table lacks has no values at all."""
     return [
-        (F.col(f).cast("double") if f in df.columns else F.lit(None).cast("double")).alias(f)
+        (number(f) if f in df.columns else F.lit(None).cast("double")).alias(f)
         for f in fields
     ]
 
 
+def number(field: str) -> Column:
+    """The field as a double; NaN counts as missing."""
+    return F.nanvl(F.col(field).cast("double"), F.lit(None).cast("double"))
+
+
 def points(df: DataFrame, fields: list[str] = POINT_FIELDS, keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Long form: one row per record and present field."""
     wide = df.select(
@@ -84,7 +88,7 @@ def _grouped(
 ) -> DataFrame:
     """One wide aggregate (partial, then final), turned long afterwards."""
     plain = [c for c in fields if c in df.columns]
-    wide = df.groupBy(*by).agg(*(fn(F.col(f).cast("double")).alias(f) for f in plain))
+    wide = df.groupBy(*by).agg(*(fn(number(f)).alias(f) for f in plain))
     return wide.unpivot(names, plain, "field", value).filter(F.col(value).isNotNull())
 
 
@@ -103,7 +107,7 @@ def aggregate_window(
     """Epoch-aligned tumbling windows per series, stamped with their end (or the range's, if earlier)."""
     window = F.window(TIME, every)
     wide = df.groupBy(window.alias("w"), SERIES).agg(
-        *(fn(F.col(f).cast("double")).alias(f) for f in fields)
+        *(fn(number(f)).alias(f) for f in fields)
     )
     end = F.col("w.end") if stop is None else F.least(F.col("w.end"), stop)
     return (
@@ -128,16 +132,6 @@ def tank_violations(df: DataFrame, every: str) -> DataFrame:
     )
 
 
-def _moment(time: str, key: str) -> Column:
-    """(time, key) as one exact ordered number.
-
-    A decimal can be updated in place, so "latest by" stays a hash aggregate;
-    a struct would force every task to sort its input first.
-    """
-    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(19,0)")
-    return micros * F.lit(Decimal(10) ** 19) + F.col(key).cast("decimal(19,0)")
-
-
 def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id") -> DataFrame:
     """Latest value of every series, with its time; among equal times the highest key.
 
@@ -149,17 +143,17 @@ def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id")
         return f"{f}__time"
 
     times = df.groupBy(SERIES).agg(
-        *(F.max(F.when(F.col(f).isNotNull(), F.col(TIME))).alias(time_of(f)) for f in fields)
+        *(F.max(F.when(number(f).isNotNull(), F.col(TIME))).alias(time_of(f)) for f in fields)
     )
-    # One row per alert type, and the rule table bounds those: safe to broadcast.
-    candidates = df.join(F.broadcast(times), SERIES).filter(
+    # One row per series tag; whether that is sent to all tasks is decided by its size.
+    candidates = df.join(times, SERIES).filter(
         any_of(F.col(TIME) == F.col(time_of(f)) for f in fields)
     )
 
     pairs = F.array(
         *(
             F.struct(
-                F.lit(f).alias("field"), F.col(time_of(f)).alias("_time"), F.col(f).cast("double").alias("value")
+                F.lit(f).alias("field"), F.col(time_of(f)).alias("_time"), number(f).alias("value")
             )
             for f in fields
         )
@@ -178,22 +172,31 @@ def pivot_latest(df: DataFrame, fields: list[str], key: str = "event_id") -> Dat
 
 
 def first_n(df: DataFrame, fields: list[str], n: int, key: str = "event_id") -> DataFrame:
-    """First ``n`` points of every series.
+    """First ``n`` points of every series, whatever ``n`` and however large a series is.
 
-    The rank filter is pushed below the shuffle, so a task hands on at most
-    ``n`` rows per series however large the series is.
+    The wide rows are sorted once per tag, dealt over salts so that a frequent tag is not one task. A row
+    stays if it is among the first ``n`` present values of some field in its part; only what stays, at most
+    ``n`` rows per series and salt, is turned long and ranked.
     """
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = W.partitionBy(SERIES, "_salt").orderBy(TIME, key)
+    present = [f for f in fields if f in df.columns]
+    needed = list(dict.fromkeys([key, SERIES, "timestamp", TIME, *present]))
+    early = F.lit(False)
+    for f in present:
+        seen = F.count(number(f)).over(part.rowsBetween(W.unboundedPreceding, W.currentRow))
+        early = early | (number(f).isNotNull() & (seen <= n))
+    salted = df.select(*needed, F.pmod(F.xxhash64(key), F.lit(salts)).alias("_salt"))
+    kept = salted.withColumn("_early", early).filter("_early").drop("_salt", "_early")
     order = W.partitionBy("field", SERIES).orderBy("_time", key)
-    ranked = points(df, fields, (key,)).withColumn("rank", F.row_number().over(order))
+    ranked = points(kept, fields, (key,)).withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= n)
 
 
 def status_now(df: DataFrame, flag: str, key: str = "event_id") -> DataFrame:
-    """The newest flag of the whole table and its display text."""
-    newest_flag = df.withColumn("_moment", _moment(TIME, key).cast("decimal(38,0)")).agg(
-        F.max(TIME).alias("_time"), F.max_by(F.col(flag), "_moment").alias("value")
-    )
-    return newest_flag.select("_time", "value", status_text(F.col("value")).alias("status"))
+    """The newest flag of every series and its display text."""
+    newest_flags = last(df, [flag], key).withColumn("value", F.col("value").cast("int"))
+    return newest_flags.select(SERIES, "_time", "value", status_text(F.col("value")).alias("status"))
 
 
 # --- health probes -------------------------------------------------------------------------------
@@ -211,9 +214,17 @@ def field_presence(df: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def throughput(df: DataFrame, field: str, every: str, minimum: int) -> DataFrame:
-    """Records per window and whether they reach the required number."""
-    counted = df.groupBy(F.window(TIME, every).alias("w")).agg(F.count(field).alias("n"))
-    return counted.filter("n > 0").select(
-        F.col("w.end").alias("_time"), "n", (F.col("n") >= minimum).alias("ok")
+    """Records per window and whether they reach the required number; silent windows count as zero.
+
+    The calendar runs from the first to the last window of the table; a year of minutes is half a million rows.
+    """
+    counted = df.groupBy(F.window(TIME, every).alias("w")).agg(F.count(number(field)).alias("n"))
+    seen = counted.select(F.col("w.start").alias("start"), "n")
+    step = F.expr(f"INTERVAL {every}")
+    span = seen.agg(F.min("start").alias("first"), F.max("start").alias("last")).filter("first IS NOT NULL")
+    windows = span.select(F.explode(F.sequence("first", "last", step)).alias("start"))
+    n = F.coalesce("n", F.lit(0)).alias("n")
+    return windows.join(seen, "start", "left").select((F.col("start") + step).alias("_time"), n).select(
+        "_time", "n", (F.col("n") >= minimum).alias("ok")
     )
 

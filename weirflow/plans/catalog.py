@@ -34,6 +34,7 @@ KEY = ["event_id"]
 # Parameters the reference leaves to the caller; the SQL twins use the same ones.
 SOURCE_SPLIT = "2024-01-16 00:00:00"
 RANGE_START, RANGE_STOP = "2024-01-10 00:00:00", "2024-01-20 12:00:00"
+RANGE_STOP_UNEVEN = "2024-01-20 12:20:00"
 RELATIVE_RANGE = "1 DAY"
 WINDOW = "1 hour"
 FLAG_WINDOW = "10 seconds"
@@ -41,12 +42,11 @@ ROLLING_ROWS = 24
 SAMPLE_ROWS = 100
 SERIES_ROWS = 3
 TOP_K = 10
-MIN_PER_WINDOW = 10
+MIN_PER_MINUTE = 10
 PUMP_FIELDS = ["S_PU4", "S_PU5", LABEL]
 CANVAS_FIELDS = [*TANKS, *STATUSES, *DISPLAYS]
 EXPECTED_FIELDS = ["L_T1", LABEL, "alert_type", "disp_PU1", "disp_PU2", "disp_PU3"]
 STREAM_WINDOW, STREAM_DELAY = "1 day", "1 hour"
-STREAM_FILES_PER_TRIGGER = 2
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -212,6 +212,12 @@ def validate_payload(spark, sf_dir):
     )
 
 
+@query
+def quarantine_payloads(spark, sf_dir):
+    rejects = P.quarantine(payload(spark, sf_dir))
+    return rejects.select("event_id", F.array_join("problems", "; ").alias("problems"))
+
+
 @query
 def valid_payloads(spark, sf_dir):
     return P.valid(payload(spark, sf_dir))
@@ -330,6 +336,25 @@ def flux_last(spark, sf_dir):
     return TS.last(flagged(spark, sf_dir))
 
 
+@query
+def flux_last_recent(spark, sf_dir):
+    table = flagged(spark, sf_dir)
+    return TS.last(TS.recent(table, RELATIVE_RANGE, TS.newest(table)))
+
+
+@query
+def flux_pivot_recent(spark, sf_dir):
+    table = flagged(spark, sf_dir)
+    return TS.pivot_latest(TS.recent(table, RELATIVE_RANGE, TS.newest(table)), CANVAS_FIELDS)
+
+
+@query
+def agg_window_range(spark, sf_dir):
+    """Window means of a range; the last window is stamped with the end of the range."""
+    part = TS.between(flagged(spark, sf_dir), moment(RANGE_START), moment(RANGE_STOP_UNEVEN))
+    return rounded(TS.aggregate_window(part, TANKS, WINDOW, F.avg, moment(RANGE_STOP_UNEVEN)), "value")
+
+
 @query
 def series_limit(spark, sf_dir):
     return TS.first_n(flagged(spark, sf_dir), [*TANKS, LABEL], SERIES_ROWS)
@@ -367,7 +392,8 @@ def tank_violations(spark, sf_dir):
 
 @query
 def ml_status_latest(spark, sf_dir):
-    return TS.status_now(with_flag(flagged(spark, sf_dir)), "ml_alert")
+    table = with_flag(flagged(spark, sf_dir))
+    return TS.status_now(TS.recent(table, "2 MINUTE", TS.newest(table)), "ml_alert")
 
 
 def with_flag(df: DataFrame) -> DataFrame:
@@ -451,7 +477,7 @@ def dq_field_present(spark, sf_dir):
 
 @query
 def dq_throughput(spark, sf_dir):
-    return TS.throughput(flagged(spark, sf_dir), "L_T1", WINDOW, MIN_PER_WINDOW)
+    return TS.throughput(flagged(spark, sf_dir), "L_T1", "1 minute", MIN_PER_MINUTE)
 
 
 @query
@@ -512,12 +538,26 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def stream_alert_counts(spark, sf_dir):
-    source = streams.read_text_messages(spark, message_files(spark, sf_dir), STREAM_FILES_PER_TRIGGER)
     root = scratch_path(spark, "tables")
-    pipeline.start(source, root, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
+    stream_once(spark, message_files(spark, sf_dir), root)
     return C.alert_counts(pipeline.read_layer(spark, root, "silver"))
 
 
+def stream_once(spark: SparkSession, messages: str, root: str) -> None:
+    """Reads all there is under a new checkpoint."""
+    source = streams.read_text_messages(spark, messages)
+    pipeline.start(source, root, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
+
+
+@query
+def stream_replay_counts(spark, sf_dir):
+    """The same messages under two checkpoints into the same tables."""
+    root, messages = scratch_path(spark, "tables"), message_files(spark, sf_dir)
+    for _ in range(2):
+        stream_once(spark, messages, root)
+    return C.alert_counts(pipeline.distinct_records(pipeline.read_layer(spark, root, "silver")))
+
+
 @query
 def stream_window_mean(spark, sf_dir):
     source = streams.read_text_messages(spark, message_files(spark, sf_dir))

@@ -341,10 +341,14 @@ def _pivot() -> str:
     return f", latest AS ({_last(Q.CANVAS_FIELDS)}) SELECT _time, alert_type, {picks} FROM latest GROUP BY _time, alert_type"
 
 
-def _hourly() -> str:
+RECENT = "recent AS (SELECT * FROM fl WHERE ts >= (SELECT max(ts) FROM fl) - INTERVAL '1 day')"
+RANGE = f" AND ts >= TIMESTAMP '{Q.RANGE_START}' AND ts < TIMESTAMP '{Q.RANGE_STOP_UNEVEN}'"
+
+
+def _hourly(range_: str = "") -> str:
     return " UNION ALL ".join(
         f"SELECT {WINDOW_END} AS _time, alert_type, '{f}' AS field, avg(CAST({f} AS DOUBLE)) AS value "
-        f"FROM fl WHERE {f} IS NOT NULL GROUP BY 1, 2"
+        f"FROM fl WHERE {f} IS NOT NULL{range_} GROUP BY 1, 2"
         for f in TANKS
     )
 
@@ -513,6 +517,8 @@ def statements() -> dict[str, str]:
         + "SELECT event_id, "
         + " + ".join(f"CAST(({t}) IS NOT NULL AS INTEGER)" for t in _problem_texts())
         + f" AS n_problems, concat_ws('; ', {', '.join(_problem_texts())}) AS problems FROM pay",
+        "quarantine_payloads": with_(pay)
+        + f"SELECT event_id, concat_ws('; ', {', '.join(_problem_texts())}) AS problems FROM pay WHERE NOT coalesce({VALID}, false)",
         "valid_payloads": with_(pay) + f"SELECT event_id, {RECORD_LIST} FROM pay WHERE {VALID}",
         "validation_summary": with_(pay) + _summary(),
         "csv_export_view": with_()
@@ -552,6 +558,10 @@ def statements() -> dict[str, str]:
         "series_limit": with_(FLAGGED, f"pts AS ({points([*TANKS, LABEL])})")
         + "SELECT *, CAST(row_number() OVER (PARTITION BY field, alert_type ORDER BY _time, event_id) AS INTEGER) AS rank "
         f"FROM pts QUALIFY rank <= {Q.SERIES_ROWS}",
+        "flux_last_recent": with_(FLAGGED, RECENT) + _last(POINT_FIELDS).replace(" FROM fl ", " FROM recent "),
+        "flux_pivot_recent": with_(FLAGGED, RECENT).rstrip() + _pivot().replace(" FROM fl ", " FROM recent "),
+        "agg_window_range": with_(FLAGGED, f"means AS ({_hourly(RANGE)})")
+        + f"SELECT least(_time, TIMESTAMP '{Q.RANGE_STOP_UNEVEN}') AS _time, alert_type, field, round(value, 6) AS value FROM means",
         "flux_pivot_latest": with_(FLAGGED).rstrip() + _pivot(),
         "series_count": with_(FLAGGED, f"pts AS ({points(POINT_FIELDS)})")
         + "SELECT alert_type, field, count(value) AS n FROM pts GROUP BY 1, 2",
@@ -564,8 +574,9 @@ def statements() -> dict[str, str]:
         f"CAST(max({verdict}) AS DOUBLE) AS value FROM fl GROUP BY 1, 2",
         "tank_violations": with_(FLAGGED).rstrip() + _violation_windows(),
         "ml_status_latest": with_(FLAGGED)
-        + f"SELECT _time, value, CASE value WHEN 1 THEN 'ATTACK DETECTED' WHEN 0 THEN 'NORMAL' END AS status FROM "
-        f"(SELECT max(ts) AS _time, CAST(arg_max({verdict}, (ts, event_id)) AS INTEGER) AS value FROM fl)",
+        + f"SELECT alert_type, _time, value, CASE value WHEN 1 THEN 'ATTACK DETECTED' WHEN 0 THEN 'NORMAL' END AS status FROM "
+        f"(SELECT alert_type, max(ts) AS _time, CAST(arg_max({verdict}, (ts, event_id)) AS INTEGER) AS value FROM fl "
+        "WHERE ts >= (SELECT max(ts) FROM fl) - INTERVAL '2 minute' GROUP BY 1)",
         # features and metrics
         "score_default": with_() + "SELECT event_id, CAST(0 AS INTEGER) AS ml_alert FROM tel",
         "feature_fill": with_() + "SELECT event_id, " + ", ".join(f"{_filled(f)} AS {f}" for f in FEATURES) + " FROM tel",
@@ -589,7 +600,9 @@ def statements() -> dict[str, str]:
         + "SELECT count(*) AS n, count(*) > 0 AS ok FROM fl WHERE ts >= (SELECT max(ts) FROM fl) - INTERVAL '60 second'",
         "dq_field_present": with_(FLAGGED).rstrip() + _presence(),
         "dq_throughput": with_(FLAGGED)
-        + f"SELECT {WINDOW_END} AS _time, count(L_T1) AS n, count(L_T1) >= {Q.MIN_PER_WINDOW} AS ok FROM fl GROUP BY 1",
+        + "SELECT w + INTERVAL '1 minute' AS _time, count(L_T1) AS n, count(L_T1) >= "
+        f"{Q.MIN_PER_MINUTE} AS ok FROM (SELECT unnest(generate_series(date_trunc('minute', min(ts)), date_trunc('minute', max(ts)), "
+        "INTERVAL '1 minute')) AS w FROM fl) LEFT JOIN fl ON date_trunc('minute', ts) = w GROUP BY w",
         "dq_load_checks": with_(raw, normal).rstrip() + _load_checks(),
         "dq_payload_checks": with_(pay).rstrip() + _payload_checks(),
         # scenarios
@@ -604,6 +617,7 @@ def statements() -> dict[str, str]:
         f"FROM (SELECT scenario, {_alert()} AS a FROM mix WHERE scenario <> 'NORMAL' AND base_alert = 'NORMAL') GROUP BY 1",
         # streams
         "stream_alert_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
+        "stream_replay_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
         "stream_window_mean": with_(*stream, "st AS (SELECT *, strptime(\"timestamp\", '%Y-%m-%dT%H:%M:%SZ') AS et FROM fl)")
         + "SELECT time_bucket(INTERVAL '1 day', et) + INTERVAL '1 day' AS _time, alert_type, "
         "round(avg(CAST(L_T1 AS DOUBLE)), 6) AS value, count(L_T1) AS n FROM st GROUP BY 1, 2 "

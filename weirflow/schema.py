@@ -113,7 +113,6 @@ HEAD_PAIRS = {
 
 # --- Fixed values: names seen by downstream consumers --------------------------------------------
 MEASUREMENT = "water_telemetry"
-ALERT_MEASUREMENT = "water_alerts"
 PRESSURE_HIGH_SENSOR, PRESSURE_HIGH_LIMIT = "P_J415", 60.0
 
 FLOAT_FIELDS = SENSORS
@@ -131,5 +130,3 @@ def spark_type(column: str) -> T.DataType:
 
 #: Typed wide record carried by the JSON messages.
 RECORD_SCHEMA = T.StructType([T.StructField(c, spark_type(c)) for c in RECORD])
-#: The same record as it arrives in delimited files: text only.
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_RECORD])

@@ -8,9 +8,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Rows a dimension may have before it is joined by shuffle instead of broadcast.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 #: Settings every session of this library needs; all of them may change at run time.
 SETTINGS = {

@@ -14,35 +14,41 @@ BROKER_VARIABLE, TOPIC_VARIABLE = "KAFKA_BROKER", "KAFKA_TOPIC"
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Where a job reads and writes; the defaults suit a compose-style network."""
+    """Where a job reads and writes. A backlog is read at once unless ``max_offsets_per_trigger`` is set."""
 
-    broker: str = "kafka:9092"
-    topic: str = "water_stream"
+    broker: str
+    topic: str
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int = 1000
+    max_offsets_per_trigger: int | None = None
     store: str | None = None
     model: str | None = None
 
     @classmethod
     def from_env(cls) -> JobConfig:
         env = os.environ
+        missing = [name for name in (BROKER_VARIABLE, TOPIC_VARIABLE) if not env.get(name)]
+        if missing:
+            raise ValueError(f"not set: {', '.join(missing)}")
+        limit = env.get("MAX_OFFSETS_PER_TRIGGER")
         return cls(
-            broker=env.get(BROKER_VARIABLE, cls.broker),
-            topic=env.get(TOPIC_VARIABLE, cls.topic),
+            broker=env[BROKER_VARIABLE],
+            topic=env[TOPIC_VARIABLE],
             starting_offsets=env.get("STARTING_OFFSETS", cls.starting_offsets),
-            max_offsets_per_trigger=int(env.get("MAX_OFFSETS_PER_TRIGGER", cls.max_offsets_per_trigger)),
+            max_offsets_per_trigger=int(limit) if limit else None,
             store=env.get("TELEMETRY_STORE"),
             model=env.get("MODEL_PATH"),
         )
 
 
 def topic_options(config: JobConfig) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": config.broker,
         "subscribe": config.topic,
         "startingOffsets": config.starting_offsets,
-        "maxOffsetsPerTrigger": str(config.max_offsets_per_trigger),
     }
+    if config.max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(config.max_offsets_per_trigger)
+    return options
 
 
 def read_topic(spark: SparkSession, config: JobConfig) -> DataFrame:

@@ -2,56 +2,115 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.operators.classify import flag, gold
-from weirflow.operators.payloads import parse
+from weirflow.operators.payloads import CORRUPT, parse
 from weirflow.sources.streams import JobConfig, bronze_columns, read_topic, spread
 
 # Time text inside a message.
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 EVENT_TIME = "event_time"
+SOURCE_KEY = "source_key"
+COMMITS = "commits"
+_COUNTS = "messages long, flagged long, rejected long"
 
 
 def event_time() -> Column:
     return F.try_to_timestamp(F.col("timestamp"), F.lit(MESSAGE_TIME_FORMAT)).alias(EVENT_TIME)
 
 
+def source_key(messages: DataFrame) -> Column:
+    """What tells two messages apart: the source's key where there is one, else a digest of the text."""
+    text = F.sha2(F.col("value").cast("string"), 256)
+    own = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    return F.coalesce(own, text).alias(SOURCE_KEY)
+
+
 def flagged_messages(messages: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """Parse, clean, classify, score. Narrow throughout, the same for batch and stream."""
-    return flag(parse(messages, []), model).select("*", event_time())
+    """Parse, clean, classify, score. Narrow throughout, the same for batch and stream.
+
+    Every record keeps its source's key, and the offset where the source has one.
+    """
+    origin = [c for c in ("topic", "partition", "offset") if c in messages.columns]
+    known = messages.select("value", source_key(messages), *origin)
+    return flag(parse(known, [SOURCE_KEY, *origin]), model).select("*", event_time())
+
+
+def rejected(messages: DataFrame) -> DataFrame:
+    """Messages that are no record, or hold a field of a wrong type, with their text."""
+    known = messages.select("value", source_key(messages))
+    bad = parse(known, [SOURCE_KEY], keep_corrupt=True).filter(F.col(CORRUPT).isNotNull())
+    return bad.select(SOURCE_KEY, F.col(CORRUPT).alias("value"))
+
+
+def layer(root: str, name: str, run: str | None = None, batch_id: int | None = None) -> str:
+    """Folder of a layer, or of one batch of one run in it."""
+    return f"{root}/{name}" if run is None else f"{root}/{name}/run={run}/batch_id={batch_id}"
+
+
+def run_identity(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run a checkpoint belongs to; made with the checkpoint and kept in it.
+
+    Batch numbers start again with every new checkpoint, so they mean something only together with it.
+    """
+    path = f"{checkpoint}/identity"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException:  # a new checkpoint
+        spark.createDataFrame([(f"run-{uuid.uuid4().hex}",)], "value string").coalesce(1).write.text(path)
+        return spark.read.text(path).first()["value"]
 
 
-def layer(root: str, name: str, batch_id: int | None = None) -> str:
-    return f"{root}/{name}" if batch_id is None else f"{root}/{name}/batch_id={batch_id}"
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """``run, batch_id, messages, flagged, rejected`` of every complete batch."""
+    return spark.read.schema(f"{_COUNTS}, run string, batch_id int").parquet(layer(root, COMMITS))
 
 
-def table_writer(root: str, model: PipelineModel | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: executors write, and a repeated batch replaces itself.
+def _is_published(spark: SparkSession, root: str, run: str, batch_id: int) -> bool:
+    try:
+        return not spark.read.parquet(layer(root, COMMITS, run, batch_id)).isEmpty()
+    except AnalysisException:
+        return False
 
-    A batch owns the folder named after its id, so the retry of a half-written batch
-    overwrites it; offsets in the checkpoint make the retry hold the same messages.
+
+def table_writer(root: str, run: str, model: PipelineModel | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: executors write, a repeated batch replaces itself, no batch replaces another's.
+
+    A batch owns the folders named after its run and its number. Its last write is a marker with its counts;
+    readers take marked batches only. A batch that is already marked is not touched again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if _is_published(spark, root, run, batch_id):
+            return
         messages = batch.persist()
         try:
             if messages.isEmpty():
                 return
-            bronze_columns(messages).write.mode("overwrite").parquet(layer(root, "bronze", batch_id))
-            silver = flagged_messages(messages, model).select(
+
+            def put(rows: DataFrame, name: str, *by: str) -> DataFrame:
+                path = layer(root, name, run, batch_id)
+                rows.write.mode("overwrite").partitionBy(*by).parquet(path)
+                return spark.read.schema(rows.schema).parquet(path)
+
+            bronze = put(bronze_columns(messages), "bronze")
+            silver = put(flagged_messages(messages, model).select(
                 "*", F.to_date(EVENT_TIME).alias("date"), F.current_timestamp().alias("ingested_at")
-            )
-            silver_path = layer(root, "silver", batch_id)
-            silver.write.mode("overwrite").partitionBy("date").parquet(silver_path)
+            ), "silver", "date")
             # Gold is read back from the batch just written: columnar, nothing is parsed twice.
-            stored = messages.sparkSession.read.schema(silver.schema).parquet(silver_path)
-            gold(stored).write.mode("overwrite").parquet(layer(root, "gold", batch_id))
+            put(gold(silver), "gold")
+            rejects = put(rejected(messages), "rejects")
+            counts = [(bronze.count(), silver.count(), rejects.count())]
+            put(spark.createDataFrame(counts, _COUNTS).coalesce(1), COMMITS)
         finally:
             messages.unpersist()
 
@@ -62,10 +121,15 @@ def start(
     messages: DataFrame, root: str, checkpoint: str, model: PipelineModel | None = None, once: bool = False,
     interval: str | None = None, partitions: int | None = None,
 ) -> StreamingQuery:
-    """Starts the job. Keep one checkpoint per (source, root) and never delete it: it holds the position."""
+    """Starts the job. A checkpoint belongs to one source and root.
+
+    A lost or a second checkpoint is a new run next to the old ones: nothing is overwritten, and
+    ``distinct_records`` leaves out what was read twice.
+    """
+    run = run_identity(messages.sparkSession, checkpoint)
     writer = (
         spread(messages, partitions)
-        .writeStream.foreachBatch(table_writer(root, model))
+        .writeStream.foreachBatch(table_writer(root, run, model))
         .option("checkpointLocation", checkpoint)
     )
     if once:
@@ -85,7 +149,19 @@ def run_topic(spark: SparkSession, config: JobConfig, checkpoint: str) -> Stream
 
 
 def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer(root, name))
+    """Rows of the published batches of a layer."""
+    return spark.read.parquet(layer(root, name)).join(published(spark, root).select("run", "batch_id"), ["run", "batch_id"], "left_semi")
+
+
+def distinct_records(silver: DataFrame) -> DataFrame:
+    """One row per event time and source key, however often the messages were replayed."""
+    return silver.dropDuplicates([EVENT_TIME, SOURCE_KEY])
+
+
+def compact(spark: SparkSession, root: str, name: str, target: str) -> None:
+    """Rewrites the published batches of a layer as few large files per date, replays left out, for history queries."""
+    rows = distinct_records(read_layer(spark, root, name)).drop("run", "batch_id")
+    rows.repartition("date").write.mode("errorifexists").partitionBy("date").parquet(target)
 
 
 def replay(messages: DataFrame, model: PipelineModel | None = None) -> DataFrame:
@@ -93,8 +169,6 @@ def replay(messages: DataFrame, model: PipelineModel | None = None) -> DataFrame
     return flagged_messages(messages, model)
 
 
-def progress(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch, input rows) of the recent triggers."""
-    return [(p.batchId, p.numInputRows) for p in query.recentProgress]
-
-
+def progress(spark: SparkSession, root: str) -> DataFrame:
+    """Delivery report: counts of every published batch of every run, not of the latest triggers only."""
+    return published(spark, root).orderBy("run", "batch_id")
