@@ -65,3 +65,12 @@ def test_scoring_stays_in_the_jvm(mix):
 
 def test_without_model_the_flag_is_zero(mix):
     assert {r["ml_alert"] for r in L.score(mix.select(LABEL)).distinct().collect()} == {0}
+
+
+def test_the_training_job_reports_saves_and_scores(spark, mix):
+    path = scratch_path(spark, "model")
+    results = L.train_job(mix, "number", path, trees=5, depth=4)
+    assert results["report"].count() > 0
+    scored = L.predict(mix.withColumn("alert_type", mix["scenario"]), L.load(path))
+    table = L.rule_versus_model(scored).collect()
+    assert sum(r["n"] for r in table) == mix.count() and {r["ml_alert"] for r in table} <= {0, 1}

@@ -57,8 +57,13 @@ def stored_features(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def train(df: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
-    """Fits on labelled records. The written features are also cached, spilling to disk."""
-    rows = weighted(filled_features(stored_features(df, [LABEL])).select(LABEL, *_INPUT.values()))
+    """Fits on labelled records."""
+    return fit(stored_features(df, [LABEL]), trees, depth, seed)
+
+
+def fit(stored: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
+    """Fits on features that are written already; they are also cached, spilling to disk."""
+    rows = weighted(filled_features(stored).select(LABEL, *_INPUT.values()))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return forest(trees, depth, seed).fit(rows)
@@ -79,17 +84,36 @@ def score(df: DataFrame, model: PipelineModel | None = None) -> DataFrame:
 
 def evaluate(df: DataFrame, key: str, trees: int = 100, depth: int = 10, seed: int = 42) -> dict[str, DataFrame]:
     """Hold-out report, confusion matrix and importances of a model fitted on three quarters."""
-    split = stratified_split(stored_features(df, [key, LABEL]), key, seed)
-    model = train(split.filter("split = 'train'"), trees, depth, seed)
+    return evaluate_stored(stored_features(df, [key, LABEL]), key, trees, depth, seed)
+
+
+def evaluate_stored(stored: DataFrame, key: str, trees: int = 100, depth: int = 10, seed: int = 42) -> dict[str, DataFrame]:
+    split = stratified_split(stored, key, seed)
+    model = fit(split.filter("split = 'train'"), trees, depth, seed)
     judged = predict(split.filter("split = 'validation'"), model)
     return {
         "predictions": judged,
         "report": classification_report(judged, LABEL, ALERT),
         "confusion": confusion_matrix(judged, LABEL, ALERT),
-        "importances": importances(df.sparkSession, model),
+        "importances": importances(stored.sparkSession, model),
     }
 
 
+def train_job(
+    df: DataFrame, key: str, path: str, trees: int = 100, depth: int = 10, seed: int = 42
+) -> dict[str, DataFrame]:
+    """The whole training: split, fit, report on the held-out part, fit again on all rows, save. Features are written once."""
+    stored = stored_features(df, [key, LABEL])
+    results = evaluate_stored(stored, key, trees, depth, seed)
+    save(stored.sparkSession, fit(stored, trees, depth, seed), path)
+    return results
+
+
+def rule_versus_model(df: DataFrame) -> DataFrame:
+    """Records by the rules' verdict and the model's, of rows that carry both."""
+    return df.groupBy("alert_type", ALERT).agg(F.count("*").alias("n"))
+
+
 def importances(spark: SparkSession, model: PipelineModel, k: int = 10) -> DataFrame:
     """The ``k`` most telling features of the fitted forest."""
     weights = model.stages[-1].featureImportances

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from weirflow.functions import parsing, rules
 from weirflow.operators import classify as C
@@ -575,10 +576,18 @@ def stream_window_mean(spark, sf_dir):
 
 @query
 def ml_predict(spark, sf_dir):
+    """Held-out records and whether each got a prediction; what it is depends on the forest."""
     judged = L.evaluate(training_rows(spark, sf_dir), "event_id")["predictions"]
-    return judged.select("event_id", LABEL, L.ALERT)
+    return judged.select("event_id", LABEL, F.coalesce(F.col(L.ALERT).isin(0, 1), F.lit(False)).alias("scored"))
 
 
 @query
 def ml_feature_importances(spark, sf_dir):
-    return L.importances(spark, L.train(training_rows(spark, sf_dir)))
+    """Ranks of the most telling features of the model fitted on the training part, and whether their weights make sense."""
+    top = L.evaluate(training_rows(spark, sf_dir), "event_id")["importances"]  # ten rows
+    by_weight = Window.orderBy(F.desc("importance"), "feature")
+    previous = F.coalesce(F.lag("importance").over(by_weight), F.lit(1.0))
+    return top.select(
+        F.row_number().over(by_weight).alias("rank"), F.col("importance").between(0, 1).alias("in_range"),
+        (F.col("importance") <= previous).alias("ordered"),
+    )

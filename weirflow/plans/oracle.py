@@ -615,6 +615,11 @@ def statements() -> dict[str, str]:
         + f"SELECT scenario, count(*) AS n, count(*) FILTER (WHERE a <> 'NORMAL') AS caught, "
         "round(CAST(count(*) FILTER (WHERE a <> 'NORMAL') AS DOUBLE) / count(*), 6) AS share "
         f"FROM (SELECT scenario, {_alert()} AS a FROM mix WHERE scenario <> 'NORMAL' AND base_alert = 'NORMAL') GROUP BY 1",
+        # learning: what is held out, and the form of the answer
+        "ml_predict": f"SELECT event_id, {LABEL}, true AS scored FROM ("
+        + with_(CLEAN, TRAINING).rstrip() + _split() + ") WHERE split = 'validation'",
+        "ml_feature_importances": f"SELECT CAST(unnest(range(1, {Q.TOP_K + 1})) AS INTEGER) AS rank, true AS in_range, true AS ordered "
+        "WHERE EXISTS (SELECT 1 FROM events)",
         # streams
         "stream_alert_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
         "stream_replay_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
