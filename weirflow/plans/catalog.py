@@ -44,6 +44,7 @@ SAMPLE_ROWS = 100
 SERIES_ROWS = 3
 TOP_K = 10
 MIN_PER_MINUTE = 10
+# Field lists of the dashboards and probes.
 PUMP_FIELDS = ["S_PU4", "S_PU5", LABEL]
 CANVAS_FIELDS = [*TANKS, *STATUSES, *DISPLAYS]
 EXPECTED_FIELDS = ["L_T1", LABEL, "alert_type", "disp_PU1", "disp_PU2", "disp_PU3"]
