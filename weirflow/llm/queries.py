@@ -11,6 +11,7 @@ from weirflow.llm.debruijn import op10_debruijn
 from weirflow.llm.decontamination import op1_leaks
 from weirflow.llm.licences import op9_licences
 from weirflow.llm.neighbours import op5_neighbours
+from weirflow.llm.notices import op9_notices
 from weirflow.llm.private_spans import op8_private_spans
 from weirflow.llm.quality import op4_quality
 from weirflow.llm.simhash import op7_simhash
@@ -22,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences, op10_debruijn)
+    every = (op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences, op9_notices, op10_debruijn)
     return {query.__name__: query for query in every}
 
 
