@@ -60,9 +60,26 @@ def test_words_scattered_over_a_long_line_are_no_notice(frame):
     assert [r[2:] for r in sorted(labelled(frame([(1, scattered), (2, inside)])))] == [("", 0.0), ("bsd", 1.0)]
 
 
+SIMILAR = {
+    "This work is licensed under the GNU Lesser General Public License, version 3.": "gpl,lgpl",
+    "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa-4",
+    "Licensed under CC BY 4.0.": "cc-by",
+    "Licensed under the Eclipse Public License, version 2.0": "",
+    "Subject to the terms of the Eclipse Public License v. 2.0": "",
+    "This work is licensed under the GNU General Public License, version 2.": "gpl",
+    "Released under the Apache License": "",
+    "Licensed under CC BY-NC 4.0. Licensed under CC BY-SA 4.0.": "cc-by,cc-by-nc-4,cc-by-sa-4",
+}
+
+
+def test_similar_wordings_are_told_apart(frame):
+    got = {i: labels for i, _, labels, _ in labelled(frame(list(enumerate(SIMILAR))))}
+    assert got == dict(enumerate(SIMILAR.values()))
+
+
 def test_equal_to_brute_force(frame, mixed):
     rng = random.Random(5)
-    texts = [*(t for t, _ in WRAPPED), *(n.text for n in notices.NOTICES), "sa nd lesser affero", "a b c é", "\n"]
+    texts = [*SIMILAR, *(t for t, _ in WRAPPED), *(n.text for n in notices.NOTICES), "sa nd lesser affero", "a b c é", "\n"]
     made = [(5000 + i, None if i % 50 == 0 else _spoiled(rng, [rng.choice(texts) for _ in range(rng.randint(0, 3))])) for i in range(400)]
     rows = [*mixed[:60], *made, (9000, " ".join(_spoiled(rng, texts) for _ in range(20)))]
     assert by_id(labelled(frame(rows))) == by_id(expected(rows))

@@ -36,7 +36,17 @@ class Notice(NamedTuple):
 
 
 #: Wordings; a label may have several.
-NOTICES = tuple(Notice(label, text) for label, text in TEMPLATES.items())
+NOTICES = (
+    Notice("apache-2", TEMPLATES["apache-2"], ("apache", "2")),
+    Notice("gpl-3", TEMPLATES["gpl-3"], ("general", "3"), ("lesser", "affero")),
+    Notice("lgpl", TEMPLATES["lgpl"], ("lesser",)),
+    Notice("cc-by-nc-4", TEMPLATES["cc-by-nc-4"], ("cc", "nc", "4"), ("sa", "nd")),
+    Notice("cc-by-sa-4", TEMPLATES["cc-by-sa-4"], ("cc", "sa", "4"), ("nc", "nd")),
+    Notice("mit", TEMPLATES["mit"]),
+    Notice("bsd", TEMPLATES["bsd"]),
+    Notice("mpl-2", TEMPLATES["mpl-2"], ("mozilla", "2")),
+    Notice("public-domain", TEMPLATES["public-domain"], ("public", "domain")),
+)
 
 
 def width(text: str, threshold: float) -> int:
