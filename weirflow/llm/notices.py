@@ -43,6 +43,7 @@ NOTICES = (
     Notice("cc-by-nc-4", TEMPLATES["cc-by-nc-4"], ("cc", "nc", "4"), ("sa", "nd")),
     Notice("cc-by-sa-4", TEMPLATES["cc-by-sa-4"], ("cc", "sa", "4"), ("nc", "nd")),
     Notice("mit", TEMPLATES["mit"]),
+    Notice("mit", "released under the mit license", ("mit",)),
     Notice("bsd", TEMPLATES["bsd"]),
     Notice("mpl-2", TEMPLATES["mpl-2"], ("mozilla", "2")),
     Notice("public-domain", TEMPLATES["public-domain"], ("public", "domain")),
