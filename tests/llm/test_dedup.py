@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
 from tests.llm.conftest import by_id
-from weirflow.llm import debruijn, queries, simhash, substrings, suffixes
+from weirflow.llm import debruijn, queries, repeats, simhash, substrings, suffixes
 from weirflow.llm.components import components
 
 
@@ -44,6 +45,57 @@ def test_whole_tables(spark, sf_dir, rows, name, plain):
     assert by_id(queries.queries()[name](spark, sf_dir).collect()) == by_id(plain(rows))
 
 
+@pytest.fixture(scope="module")
+def passage():
+    """One passage in every text, each with a context of its own."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    shared = " ".join(word() for _ in range(60))
+    return [(i, " ".join([*(word() for _ in range(30)), shared, *(word() for _ in range(30))])) for i in range(300)]
+
+
+@pytest.mark.parametrize("module,digests,plain", [(substrings, substrings.substring_digests, brute.substrings), (debruijn, debruijn.word_digests, brute.words)])
+def test_crowded_minimizers_equal_brute_force(spark, frame, mixed, passage, monkeypatch, module, digests, plain):
+    monkeypatch.setattr(repeats, "CROWD", 2)
+    monkeypatch.setattr(repeats, "CROWD_IN_BLOCK", 1)
+    rows = mixed + [(i + 5000, t) for i, t in passage[:40]] + passage[40:60] * 2
+    assert len(repeats.crowded(repeats.addressed(frame(rows)), module.KIND)) > 10
+    assert by_id(digests(frame(rows)).collect()) == by_id(plain(rows))
+
+
+@pytest.mark.parametrize("module", [substrings, debruijn])
+def test_a_passage_in_every_text_is_dealt_out(module, passage):
+    """No bucket receives the edges of the passage from all texts."""
+    kind, buckets = module.KIND, 4096
+    texts = pa.RecordBatch.from_arrays([pa.array([i for i, _ in passage]), pa.array([i for i, _ in passage]), pa.array([t for _, t in passage])],
+                                       ["lead", "key", "text"])
+    ((_, _, items, counts),) = repeats.each_chunk(iter([texts]), kind)
+    r = repeats.find_runs(items, counts, kind)
+    (found,) = repeats._crowds(kind, 100)(iter([texts]))
+    crowds = np.sort(found.column(0).to_numpy().view(np.uint64))
+    assert len(crowds) >= 2
+    first = np.zeros(len(r.text), bool)
+    first[np.unique(np.stack([r.minimizer, r.content], 1), axis=0, return_index=True)[1]] = True
+    opened = [[r.place[(r.text == k) & first].astype(np.uint32).tobytes()] for k in range(len(passage))]
+    asked = texts.append_column("open", pa.array(opened, pa.list_(pa.binary())))
+
+    def largest(crowds):
+        runs = {}
+        for batch in repeats._send(kind, buckets, crowds)(iter([asked])):
+            for bucket, leads in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                runs[bucket] = max(runs.get(bucket, 0), len(set(np.frombuffer(leads, np.int64))))
+        return max(runs.values())
+
+    assert largest(crowds[:0]) > len(passage) * 0.9 and largest(crowds) < len(passage) / 10
+
+    def largest_judged(crowds):
+        (packed,) = repeats._pack(kind, buckets, crowds)(iter([texts]))
+        own = packed.filter(pa.compute.invert(packed.column(1)))
+        return max(len(set(np.frombuffer(x.as_py(), np.int64))) for x in own.column(4))
+
+    assert largest_judged(crowds[:0]) > len(passage) * 0.9 and largest_judged(crowds) < len(passage) / 10
+
+
 def test_paths_are_compacted(spark):
     pieces = [(9, 1, 0, 5, 2, 2, 100), (9, 1, 5, 8, 2, 2, 105), (9, 1, 8, 9, 3, 3, 7), (9, 1, 20, 22, 2, 2, 120)]
     df = spark.createDataFrame(pieces, "lead long, key long, begin long, end long, s_lead long, s_key long, s_begin long")

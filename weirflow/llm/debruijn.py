@@ -78,19 +78,7 @@ def sources(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
     one, two = edge_hashes(shard)
     run = np.repeat(np.arange(len(shard.lead)), shard.windows)
     lead, key, place = shard.lead[run], shard.key[run], positions(shard.place, shard.windows)
-    order = np.lexsort((place, key, lead, two, one))
-    new = np.ones(len(order), bool)
-    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-    rank = np.arange(len(order))
-    first = np.maximum.accumulate(np.where(new, rank, 0))
-    own_new = new.copy()
-    own_new[1:] |= (lead[order][1:] != lead[order][:-1]) | (key[order][1:] != key[order][:-1])
-    own = np.maximum.accumulate(np.where(own_new, rank, 0))
-    from_other = lead[order] > lead[order][first]
-    source = np.empty(len(order), np.int64)
-    source[order] = order[np.where(from_other, first, own)]
-    repeated = np.empty(len(order), bool)
-    repeated[order] = from_other | (place[order] > place[order][own])
+    repeated, source = repeats.earlier_windows(one, two, lead, key, place, within=True)
     return source, repeated
 
 

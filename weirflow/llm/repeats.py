@@ -11,6 +11,10 @@ minimizer form a run. So all a run has to be compared with are runs of the same
 2. Runs that share a minimizer but not the content send their content, by bucket (``shard``).
 3. What the shards find comes back as window ranges per text and source.
 
+A minimizer that many different runs share (the windows at the edges of a passage reach into each text's own context) would
+make one bucket large. Such minimizers are counted beforehand; their runs are dealt by content instead, and what is left of them
+by the 128-bit hash of every window. Equal windows still meet, once per map block.
+
 Texts are known by ``(lead, key)``: the id (a null id counts as the largest) and ``xxhash64`` of the text.
 """
 
@@ -34,6 +38,8 @@ CHUNK_ITEMS = 1 << 20
 BUCKET_BYTES = 8 << 20
 #: Contents are dealt to so many times more buckets than hashes: they take more memory.
 FINER = 4
+#: Different runs of one minimizer from which on it is crowded, and in one map block for it to count there.
+CROWD, CROWD_IN_BLOCK = 8192, 4
 #: Windows of one run at most; a longer one (periodic text) is cut.
 RUN_LIMIT = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -172,6 +178,29 @@ def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.array([raw[a * size : b * size] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
 
 
+def _crowds(kind: Kind, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Minimizers of ``least`` or more different runs of a block, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, items, counts in each_chunk(batches, kind):
+            r = find_runs(items, counts, kind)
+            order = np.lexsort((r.content, r.minimizer))
+            m, c = r.minimizer[order], r.content[order]
+            other = np.append(True, (m[1:] != m[:-1]) | (c[1:] != c[:-1])) if len(m) else np.zeros(0, bool)
+            minimizers, n = np.unique(m[other], return_counts=True)
+            many = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(minimizers[many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["minimizer", "n"])
+
+    return run
+
+
+def crowded(texts: DataFrame, kind: Kind) -> np.ndarray:
+    """Minimizers that too many different runs share for one bucket, sorted."""
+    counted = texts.mapInArrow(_crowds(kind, CROWD_IN_BLOCK), "minimizer long, n long")
+    rows = counted.groupBy("minimizer").agg(F.sum("n").alias("n")).filter(F.col("n") >= CROWD).select("minimizer").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+
+
 _PACKED = (
     "bucket int, settled boolean, minimizers binary, contents binary, leads binary, keys binary, places binary, windows binary, "
     "s_leads binary, s_keys binary, s_places binary"
@@ -179,8 +208,8 @@ _PACKED = (
 _SELF = np.uint32(1 << 31)  # mark of a run that may repeat itself
 
 
-def _pack(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (lead, key, text) to packed runs per bucket."""
+def _pack(kind: Kind, buckets: int, crowds: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (lead, key, text) to packed runs per bucket; those of crowded minimizers to as many more buckets by content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, items, counts in each_chunk(batches, kind):
@@ -195,10 +224,12 @@ def _pack(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             order = np.lexsort((r.place, key, lead, r.content, r.minimizer))
             settled, source = _later(order, r.minimizer, r.content, lead, key, r.place, kind.within)
             home = (r.minimizer % np.uint64(buckets)).astype(np.int64)
+            by_content = buckets + (r.content % np.uint64(buckets)).astype(np.int64)
+            home = np.where(np.isin(r.minimizer, crowds), by_content, home)
             # Settled runs go anywhere; where they come from decides, not what they hold.
             bucket = np.where(settled, np.arange(len(home)) * 64 // max(1, len(home)) % buckets, home)
             order = np.lexsort((r.place, key, lead, bucket, settled))
-            group = bucket[order] + settled[order] * buckets
+            group = bucket[order] + settled[order] * 2 * buckets
             cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -261,10 +292,11 @@ _REPLIES = "lead long, key long, settled binary, open binary"
 PIECES = "lead long, key long, begin long, end long, s_lead long, s_key long, s_begin long"
 
 
-def _judge(within: bool) -> Callable[[pa.Table], pa.Table]:
-    """One bucket: which runs are settled, and which must send their content."""
+def _judge(within: bool, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """One bucket: which runs are settled, and which must send their content: of crowded minimizers, all others."""
 
     def run(table: pa.Table) -> pa.Table:
+        by_content = table.column("bucket")[0].as_py() >= buckets
         known = table.filter(table.column("settled"))
         table = table.filter(pa.compute.invert(table.column("settled")))
         minimizer, content = _joined(table, "minimizers", np.uint32), _joined(table, "contents", np.uint64)
@@ -286,6 +318,7 @@ def _judge(within: bool) -> Callable[[pa.Table], pa.Table]:
         opened[order] = is_open[group] if len(m) else False
         if within:
             opened |= (place & _SELF) > 0
+        opened |= by_content
         opened &= ~later
         status = np.where(later, 1, np.where(opened, 2, 0))
         if within:
@@ -348,10 +381,97 @@ def chosen(rows: pa.RecordBatch, column: int, r: Runs) -> np.ndarray:
     return np.isin(r.text * wide + r.place, wanted, assume_unique=True)
 
 
-_SENT = "bucket int, leads binary, keys binary, places binary, windows binary, data binary"
+_SENT = "bucket int, leads binary, keys binary, places binary, windows binary, data binary, known binary"
+
+
+def earlier_windows(
+    one: np.ndarray, two: np.ndarray, lead: np.ndarray, key: np.ndarray, place: np.ndarray, within: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each window, known by two hashes, repeats an earlier one; and the index of its source.
+
+    The source is the earliest occurrence in the text with the smallest id, or, where that has the same id as the window's own
+    text, the earliest in its own text.
+    """
+    order = np.lexsort((place, key, lead, two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    rank = np.arange(len(order))
+    first = np.maximum.accumulate(np.where(new, rank, 0))
+    own_new = new.copy()
+    own_new[1:] |= (lead[order][1:] != lead[order][:-1]) | (key[order][1:] != key[order][:-1])
+    own = np.maximum.accumulate(np.where(own_new, rank, 0))
+    from_other = lead[order] > lead[order][first]
+    source = np.empty(len(order), np.int64)
+    source[order] = order[np.where(from_other, first, own)]
+    repeated = np.empty(len(order), bool)
+    repeated[order] = from_other | (place[order] > place[order][own]) if within else from_other
+    return repeated, source
+
+
+_PIECE = ("lead", "key", "begin", "end", "s_lead", "s_key", "s_begin")
+
+
+def _found(lead: np.ndarray, key: np.ndarray, place: np.ndarray, repeated: np.ndarray, source: np.ndarray, within: bool) -> np.ndarray:
+    """Repeated windows that follow each other, in the source too where it counts, as rows of ``_PIECE``."""
+    at = np.flatnonzero(repeated)
+    at = at[np.lexsort((place[at], key[at], lead[at]))]
+    s = source[at]
+    goes_on = (lead[at[1:]] == lead[at[:-1]]) & (key[at[1:]] == key[at[:-1]]) & (place[at[1:]] == place[at[:-1]] + 1)
+    if within:
+        goes_on &= (lead[s[1:]] == lead[s[:-1]]) & (key[s[1:]] == key[s[:-1]]) & (place[s[1:]] == place[s[:-1]] + 1)
+    begin, end = np.ones(len(at), bool), np.ones(len(at), bool)
+    begin[1:], end[:-1] = ~goes_on, ~goes_on
+    b, e, f = at[begin], at[end], s[begin]
+    return np.stack([lead[b], key[b], place[b], place[e] + 1, lead[f], key[f], place[f]], 1)
+
+
+def _deal_windows(kind: Kind, r: Runs, which: np.ndarray, items: np.ndarray, lead: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Windows of some runs of a block: what repeats here, and the others packed by window hash in buckets after the usual ones."""
+    size = r.windows[which]
+    at, place = positions(r.at[which], size), positions(r.place[which], size)
+    one, two = (sliding_hash(x, kind.length)[at] for x in (items, mixed(items)))
+    lead, key = np.repeat(lead, size), np.repeat(key, size)
+    repeated, source = earlier_windows(one, two, lead, key, place, kind.within)
+    known = _found(lead, key, place, repeated, source, kind.within)
+    left = np.flatnonzero(~repeated)
+    bucket = buckets + (mixed(one[left]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    left, bucket = left[order], bucket[order]
+    cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket) != 0)), len(left))
+    firsts = bucket[cuts[:-1]]
+    # What is known here rides along in one of the block's rows.
+    rows = len(firsts)
+    carrier = int(one[left[0]] % np.uint64(rows))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(firsts.astype(np.int32)), _blobs(lead[left], cuts), _blobs(key[left], cuts), _blobs(place[left].astype(np.uint32), cuts),
+            pa.nulls(rows, pa.binary()), _blobs(np.stack([one[left], two[left]], 1).ravel(), cuts * 2),
+            pa.array([known.tobytes() if k == carrier else None for k in range(rows)], pa.binary()),
+        ],
+        names=["bucket", "leads", "keys", "places", "windows", "data", "known"],
+    )
+
+
+def _work(work: Callable[[pa.Table], pa.Table], within: bool) -> Callable[[pa.Table], pa.Table]:
+    """One bucket: contents by ``work``, dealt windows by their hashes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        if not table.column("windows").null_count:
+            return work(table)
+        hashed = _joined(table, "data", np.uint64).reshape(-1, 2)
+        lead, key = _joined(table, "leads", np.int64), _joined(table, "keys", np.int64)
+        place = _joined(table, "places", np.uint32).astype(np.int64)
+        repeated, source = earlier_windows(hashed[:, 0], hashed[:, 1], lead, key, place, within)
+        found = _found(lead, key, place, repeated, source, within)
+        found = np.concatenate([found, _joined(table, "known", np.int64).reshape(-1, len(_PIECE))])
+        if within:
+            return pa.table({name: found[:, k] for k, name in enumerate(_PIECE)})
+        return ranges_per_text(*(found[:, k] for k in range(4)))
+
+    return run
 
 
-def _send(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _send(kind: Kind, buckets: int, crowds: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (lead, key, text, open places) to the contents of the open runs, packed per bucket.
 
     Content is bytes where items are bytes, else the items' hashes.
@@ -361,6 +481,11 @@ def _send(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         for rows, raw, items, counts in each_chunk(batches, kind):
             r = find_runs(items, counts, kind)
             picked = chosen(rows, 3, r)
+            dealt = picked & np.isin(r.minimizer, crowds)
+            if dealt.any():
+                which = np.flatnonzero(dealt)
+                yield _deal_windows(kind, r, which, items, *(_column(rows, k)[r.text[which]] for k in (0, 1)), buckets)
+            picked &= ~dealt
             if not picked.any():
                 continue
             bucket = (r.minimizer[picked] % np.uint64(buckets)).astype(np.int64)
@@ -375,9 +500,9 @@ def _send(kind: Kind, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 [
                     pa.array(bucket[order][cuts[:-1]].astype(np.int32)), _blobs(lead, cuts), _blobs(key, cuts),
                     _blobs(r.place[which].astype(np.uint32), cuts), _blobs(r.windows[which].astype(np.uint16), cuts),
-                    _blobs(data, np.append(0, np.cumsum(size))[cuts]),
+                    _blobs(data, np.append(0, np.cumsum(size))[cuts]), pa.nulls(len(cuts) - 1, pa.binary()),
                 ],
-                names=["bucket", "leads", "keys", "places", "windows", "data"],
+                names=["bucket", "leads", "keys", "places", "windows", "data", "known"],
             )
 
     return run
@@ -448,9 +573,10 @@ def find_repeats(docs: DataFrame, kind: Kind, work: Callable[[pa.Table], pa.Tabl
     texts = addressed(docs)
     total = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // BUCKET_BYTES))
-    packed = texts.mapInArrow(_pack(kind, buckets), _PACKED)
+    crowds = crowded(texts, kind)
+    packed = texts.mapInArrow(_pack(kind, buckets, crowds), _PACKED)
     path, shard_path = scratch_path(spark, "replies"), scratch_path(spark, "shards")
-    packed.groupBy("bucket").applyInArrow(_judge(kind.within), PIECES if kind.within else _REPLIES).write.parquet(path)
+    packed.groupBy("bucket").applyInArrow(_judge(kind.within, buckets), PIECES if kind.within else _REPLIES).write.parquet(path)
     replies = spark.read.parquet(path)
     if kind.within:
         settled = replies.filter("s_begin >= 0")
@@ -458,6 +584,6 @@ def find_repeats(docs: DataFrame, kind: Kind, work: Callable[[pa.Table], pa.Tabl
     else:
         settled, opened = replies.filter(F.length("settled") > 0).select("lead", "key", "settled"), replies.filter(F.length("open") > 0)
     asked = opened.groupBy("lead", "key").agg(F.collect_list("open").alias("open"))
-    sent = texts.join(asked, ["lead", "key"]).select("lead", "key", "text", "open").mapInArrow(_send(kind, buckets * FINER), _SENT)
-    sent.groupBy("bucket").applyInArrow(work, result).write.parquet(shard_path)
+    sent = texts.join(asked, ["lead", "key"]).select("lead", "key", "text", "open").mapInArrow(_send(kind, buckets * FINER, crowds), _SENT)
+    sent.groupBy("bucket").applyInArrow(_work(work, kind.within), result).write.parquet(shard_path)
     return Found(texts, settled, spark.read.parquet(shard_path))
