@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirflow.llm import licences
+from weirflow.llm import licences, manifest
 from weirflow.llm.debruijn import op10_debruijn
 from weirflow.llm.decontamination import op1_leaks
 from weirflow.llm.licences import op9_licences
+from weirflow.llm.manifest import op13_manifest
 from weirflow.llm.neighbours import op5_neighbours
 from weirflow.llm.notices import op9_notices
 from weirflow.llm.private_spans import op8_private_spans
@@ -23,9 +24,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans, op9_licences, op9_notices, op10_debruijn)
+    every = (
+        op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans,
+        op9_licences, op9_notices, op10_debruijn, op13_manifest,
+    )
     return {query.__name__: query for query in every}
 
 
 def statements() -> dict[str, str]:
-    return {"op9_licences": licences.SQL}
+    return {"op9_licences": licences.SQL, "op13_manifest": manifest.SQL}
