@@ -19,6 +19,7 @@ from weirflow.llm.simhash import op7_simhash
 from weirflow.llm.substrings import op3_substrings
 from weirflow.llm.token_codec import op6_token_codec
 from weirflow.llm.token_counts import op2_token_counts
+from weirflow.llm.turn_repair import op11_turns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     every = (
         op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans,
-        op9_licences, op9_notices, op10_debruijn, op13_manifest,
+        op9_licences, op9_notices, op10_debruijn, op11_turns, op13_manifest,
     )
     return {query.__name__: query for query in every}
 
