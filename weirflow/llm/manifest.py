@@ -224,13 +224,14 @@ def manifest(docs: DataFrame) -> DataFrame:
     above = subroots.select("tree", hexed.alias("subroot")).join(
         of_subroots.select(F.col("idx").alias("tree"), F.col("segment").alias("above")), "tree", "left"
     )
+    top = root.select(hexed.alias("root")).first()["root"]
     path = scratch_path(spark, "above")
-    above.crossJoin(F.broadcast(root.select(hexed.alias("root")))).write.parquet(path)  # one row, the root
+    above.write.parquet(path)
     nothing = F.unhex(F.lit(""))
     whole = (
         numbered.select("tree", "idx", "doc_id", "leaf", "tampered").join(of_rows, ["tree", "idx"], "left")
         .join(spark.read.parquet(path), "tree")
-        .select("doc_id", "leaf", "tampered", "subroot", "root", F.concat(F.coalesce("segment", nothing), F.coalesce("above", nothing)).alias("segment"))
+        .select("doc_id", "leaf", "tampered", "subroot", F.lit(top).alias("root"), F.concat(F.coalesce("segment", nothing), F.coalesce("above", nothing)).alias("segment"))
     )
     return whole.mapInArrow(_prove_map, out)
 
