@@ -35,7 +35,7 @@ def test_scenarios():
         ("A4_V2_VALVE_ATTACK", 60, ["F_V2"]), ("A5_T5_CASCADE", 70, ["F_PU10"]), ("A6_FLOW_INJECTION", 60, ["F_PU3"]),
         ("A7_PRESSURE_COLLAPSE", 60, ["P_J14"]), ("A8_MULTI_TANK", 70, ["F_PU1"]),
     ]
-    assert tuple(SCENARIOS[0].forced["L_T1"]) == (6.4, 0.03, 0.01, 6.5)
-    assert tuple(SCENARIOS[1].forced["L_T3"]) == (2.8, -0.04, 0.01, 0.2)
-    assert tuple(SCENARIOS[3].forced["L_T2"]) == (4.5, -0.06, 0.01, 0.1)
+    assert tuple(SCENARIOS[0].forced["L_T1"]) == (6.4, 0.03, 0.01, None, 6.5, True)
+    assert tuple(SCENARIOS[1].forced["L_T3"]) == (2.8, -0.04, 0.01, 0.2, None, True)
+    assert tuple(SCENARIOS[3].forced["L_T2"]) == (4.5, -0.06, 0.01, 0.1, None, True)
     assert tuple(SCENARIOS[6].forced["P_J415"])[:2] == (1.8, 0.4)

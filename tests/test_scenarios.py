@@ -56,3 +56,37 @@ def test_runs_restart_the_drift(spark, sf_dir):
 def test_a_round_must_hold_every_scenario(spark, sf_dir):
     with pytest.raises(ValueError):
         S.training_mix(catalog.quiet_base(spark, sf_dir), catalog.ORDER, normal_run=100)
+
+
+def test_counts_follow_from_the_number_of_records(spark, sf_dir, mix):
+    counts = {r["scenario"]: r["n"] for r in S.scenario_counts(catalog.quiet_base(spark, sf_dir)).collect()}
+    assert counts == mix["scenario"].value_counts().to_dict()
+    for n in (0, 1, 59, 60, 61, 509, 510, 2199, 2200, 2261, 5000):
+        got = {r["scenario"]: r["n"] for r in S.scenario_counts(spark.range(n)).collect()}
+        want = {NORMAL: n} if n else {}
+        for k in range(n):
+            for start, stop, s in S._spans():
+                if start <= k % 2200 < stop:
+                    want[s.name] = want.get(s.name, 0) + 1
+        assert got == want
+
+
+def test_runs_that_cross_blocks(spark, sf_dir, mix):
+    """Any number of blocks gives the same mix."""
+    more = S.training_mix(catalog.quiet_base(spark, sf_dir), catalog.ORDER, blocks=37).toPandas()
+    a, b = (m.sort_values("key").reset_index(drop=True) for m in (mix, more))
+    assert a.equals(b[a.columns])
+
+
+def test_the_wandering_level_turns_at_both_ends(spark, sf_dir):
+    level = S.level_drift(catalog.quiet_base(spark, sf_dir), S.WANDERING, "L_T1", catalog.ORDER, blocks=11)
+    got = level.orderBy(*catalog.ORDER).toPandas()["level"].astype(float)
+    assert got.min() == pytest.approx(4.6) and got.max() == pytest.approx(5.4)
+    assert (got.diff() > 1e-6).any() and (got.diff() < -1e-6).any()
+
+
+def test_units_of_drifts():
+    assert S.drift_units(S.Drift(6.4, 0.03, 0.01, high=6.5)) == (64000, 100, 401, None, 65000)
+    assert S.drift_units(S.Drift(2.8, -0.04, 0.01, low=0.2)) == (28000, -600, 401, 2000, None)
+    assert S.drift_units(S.Drift(6.3, 0.02, 0.01, high=6.5)).least == 0
+    assert S.drift_units(S.WANDERING.forced["L_T1"]) == (50000, -800, 2001, 46000, 54000)

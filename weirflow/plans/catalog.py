@@ -500,6 +500,12 @@ def level_drift(spark, sf_dir):
     return S.level_drift(quiet_base(spark, sf_dir), S.SCENARIOS[0], "L_T1", ORDER).drop("ts")
 
 
+@query
+def wandering_level(spark, sf_dir):
+    """A level that steps both ways between floor and ceiling."""
+    return S.level_drift(quiet_base(spark, sf_dir), S.WANDERING, "L_T1", ORDER).drop("ts")
+
+
 def _scenario_query(number: int) -> Query:
     def run(spark, sf_dir):
         return S.overlay_all(quiet_base(spark, sf_dir), S.SCENARIOS[number - 1], ORDER).drop("ts", "user_id")
@@ -519,8 +525,7 @@ def scenario_union(spark, sf_dir):
 
 @query
 def scenario_counts(spark, sf_dir):
-    base = quiet_base(spark, sf_dir).select(*ORDER, "user_id", *SENSORS, *STATUSES, LABEL)
-    return S.scenario_counts(S.training_mix(base, ORDER))
+    return S.scenario_counts(quiet_base(spark, sf_dir))
 
 
 @query

@@ -166,7 +166,7 @@ def _parsed() -> str:
 
 
 def with_(*relations: str) -> str:
-    return "WITH " + ", ".join((_telemetry(), *relations)) + " "
+    return "WITH RECURSIVE " + ", ".join((_telemetry(), *relations)) + " "
 
 
 FLAGGED = _flag("tel", "fl")
@@ -197,13 +197,14 @@ def _mixed(c: str, span: int) -> str:
 
 def _forced(c: str, v, run: str) -> str:
     if isinstance(v, S.Drift):
-        start, step, spread, limit = (round(abs(x) * 10000) for x in v)
-        least, span = max(step - 2 * spread, 0), 4 * spread + 1
+        # Steps of one sign: clamping the running sum equals clamping every step.
+        least, span = max(round(abs(v.step) * 10000) - 2 * round(v.spread * 10000), 0), 4 * round(v.spread * 10000) + 1
         moved = (
             f"sum({_mixed(c, span)} + {least}) OVER (PARTITION BY {run} ORDER BY position "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         )
-        units = f"least({limit}, {start} + {moved})" if v.step > 0 else f"greatest({limit}, {start} - {moved})"
+        start = round(v.start * 10000)
+        units = f"least({round(v.high * 10000)}, {start} + {moved})" if v.step > 0 else f"greatest({round(v.low * 10000)}, {start} - {moved})"
         return f"CAST(CAST({units} AS DOUBLE) / {d(10000)} AS FLOAT)"
     if isinstance(v, S.Noise):
         value = f"{d(v.mean)} + {d(v.spread)} * (({_mixed(c, 2001)} - 1000) / {d(500)})"
@@ -213,6 +214,23 @@ def _forced(c: str, v, run: str) -> str:
     return f"CAST({v} AS {'INTEGER' if c in STATUSES else 'FLOAT'})"
 
 
+def _wandering() -> str:
+    """Step by step, all runs side by side."""
+    s = S.WANDERING
+    v = s.forced["L_T1"]
+    spread = round(v.spread * 10000)
+    step = f"({_mixed('L_T1', 4 * spread + 1)} + {round(v.step * 10000) - 2 * spread})"
+
+    def kept(x: str) -> str:
+        return f"least({round(v.high * 10000)}, greatest({round(v.low * 10000)}, {x}))"
+
+    return (
+        f"steps AS (SELECT event_id, position // {s.length} AS run, position % {s.length} AS k, {step} AS step FROM placed), "
+        f"walk AS (SELECT event_id, run, k, {kept(f'{round(v.start * 10000)} + step')} AS level FROM steps WHERE k = 0 UNION ALL "
+        f"SELECT s.event_id, s.run, s.k, {kept('w.level + s.step')} FROM walk w JOIN steps s ON s.run = w.run AND s.k = w.k + 1)"
+    )
+
+
 def _overlaid(s: S.Scenario, run: str) -> str:
     parts = [f"{_forced(c, s.forced[c], run)} AS {c}" if c in s.forced else c for c in READINGS]
     return ", ".join(parts) + f", CAST(1 AS INTEGER) AS {LABEL}"
@@ -608,6 +626,8 @@ def statements() -> dict[str, str]:
         # scenarios
         "level_drift": with_(PLACED, "runs AS (SELECT *, position // 60 AS run FROM placed)")
         + f"SELECT event_id, run, {_forced('L_T1', S.SCENARIOS[0].forced['L_T1'], 'run')} AS level FROM runs",
+        "wandering_level": with_(PLACED, _wandering())
+        + f"SELECT event_id, run, CAST(CAST(level AS DOUBLE) / {d(10000)} AS FLOAT) AS level FROM walk",
         **{f"scn_a{n}": _scenario(n) for n in range(1, len(S.SCENARIOS) + 1)},
         "scenario_union": with_(PLACED, mix) + f"SELECT key, event_id, scenario, {cols(READINGS)}, {LABEL} FROM mix",
         "scenario_counts": with_(PLACED, mix) + "SELECT scenario, count(*) AS n FROM mix GROUP BY 1",
