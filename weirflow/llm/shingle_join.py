@@ -15,7 +15,7 @@ against list entries written and met by the large, summed per size over the tabl
 Members of a list are compared by size and by a parity sketch, whose differing bits are a lower bound of the differing elements, so
 neither test loses a link. A large list is dealt out over pairs of blocks. In each round a set proposes its nearest
 few of other components; what is proposed is verified on the shingles themselves, read from the texts, and components grow. The
-few become more until no set has further proposals, so a large group of near copies costs about as many verifications as it has
+few become more, for those sets that had more to propose, until none has, so a large group of near copies costs about as many verifications as it has
 members, and no link between components is lost.
 
 Defined results: a null text is empty; an empty set links with nothing, its component is its own id. A null ``doc_id`` is never a component id unless
@@ -52,7 +52,7 @@ SLICES = 1024
 BLOCK = 2048
 SKETCH_BITS = 256
 #: Nearest sets a set proposes in the first round, and how much that grows from round to round.
-PROPOSALS, GROWTH = 2, 8
+PROPOSALS, GROWTH = 3, 16
 #: Lists up to this length are compared side by side.
 SHORT = 32
 _SEED = 0x5E7
@@ -90,10 +90,22 @@ def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
 
 def _count_map(buckets: int, slices: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counters of all shingles of a task, in slices."""
-    counts = np.zeros(buckets, np.uint32)
+    counts, waiting, held = np.zeros(buckets, np.int64), [], 0
+
+    def count() -> None:
+        if waiting:
+            np.add(counts, np.bincount(_bucket(np.concatenate(waiting), buckets), minlength=buckets), out=counts)
+            waiting.clear()
+
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            np.add.at(counts, _bucket(hashes(shingles(text)), buckets), 1)
+            waiting.append(hashes(shingles(text)))
+            held += len(waiting[-1])
+            if held > buckets:
+                count()
+                held = 0
+    count()
+    counts = counts.astype(np.uint32)
     parts = counts.reshape(slices, -1)
     used = np.flatnonzero(parts.any(axis=1))
     packed = [zlib.compress(parts[k].tobytes(), 1) for k in used]
@@ -249,6 +261,7 @@ class _Members:
 
     def __init__(self, rows: pa.Table):
         self.ids, self.roots, self.n = (rows.column(c).to_numpy() for c in ("set_id", "root", "n"))
+        self.open = rows.column("open").to_numpy(zero_copy_only=False)
         sketch = b"".join(rows.column("sketch").to_pylist())
         self.sketch = np.frombuffer(sketch, np.uint64).reshape(-1, SKETCH_BITS // 64)
 
@@ -263,10 +276,11 @@ class _Members:
 
 
 def _nearest(members: _Members, start: int, size: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For every member of one long list the ``limit`` nearest others, in slabs of rows."""
+    """For every open member of one long list the ``limit`` nearest others, in slabs of rows."""
     every = np.arange(start, start + size)
-    for a in range(start, start + size, 256):
-        rows = np.arange(a, min(a + 256, start + size))
+    proposers = every[members.open[start : start + size]]
+    for a in range(0, len(proposers), 256):
+        rows = proposers[a : a + 256]
         good, bits = members.may_link(rows[:, None], every[None, :])
         far = np.where(good, bits, SKETCH_BITS + 1)
         if limit < size:
@@ -294,7 +308,8 @@ def _propose_map(limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         one, other = np.repeat(at, after), positions(at + 1, after)
         good, bits = m.may_link(one, other)
         one, other, bits = one[good], other[good], bits[good]
-        yield packed(m, np.concatenate([one, other]), np.concatenate([other, one]), np.concatenate([bits, bits]))
+        a, b = m.open[one], m.open[other]
+        yield packed(m, np.concatenate([one[a], other[b]]), np.concatenate([other[a], one[b]]), np.concatenate([bits[a], bits[b]]))
         for start, size in zip(starts[~short].tolist(), sizes[~short].tolist(), strict=True):
             for found in _nearest(m, start, size, limit):
                 yield packed(m, *found)
@@ -335,54 +350,77 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _proposed(members: DataFrame, roots: DataFrame | None, limit: int) -> DataFrame:
-    """``member, other, place``: each member's nearest others of other components, nearest first."""
-    if roots is None:
-        rooted = members.withColumn("root", F.col("set_id"))
-    else:
-        of = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_root"))
-        rooted = members.join(of, "set_id", "left").withColumn("root", F.coalesce("_root", "set_id"))
+def _proposed(members: DataFrame, limit: int) -> DataFrame:
+    """``member, other, place``: the nearest sets of other components, nearest first, of each set that is open."""
+    counted = members.groupBy("key").agg(F.count("*").alias("length")).filter(F.col("length") > BLOCK)
+    long_lists = _stored(counted, "long")
     blocks = F.ceil(F.coalesce("length", F.lit(1)) / BLOCK).cast("int")
-    long_lists = members.groupBy("key").agg(F.count("*").alias("length")).filter(F.col("length") > BLOCK)
-    dealt = rooted.join(long_lists, "key", "left").select(
-        "key", "set_id", "root", "n", "sketch", F.pmod(F.xxhash64("set_id", F.lit(7)), blocks).cast("int").alias("own"),
+    dealt = members.join(long_lists, "key", "left").select(
+        *members.columns, F.pmod(F.xxhash64("set_id", F.lit(7)), blocks).cast("int").alias("own"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("mate"),
     )
     low, high = F.least("own", "mate").alias("low"), F.greatest("own", "mate").alias("high")
     group = ["key", "low", "high"]
-    in_order = dealt.select("key", low, high, "set_id", "root", "n", "sketch").repartition(*group).sortWithinPartitions(*group)
+    rows = dealt.select("key", low, high, "set_id", "root", "open", "n", "sketch")
+    in_order = rows.repartition(*group).sortWithinPartitions(*group)
     found = in_order.mapInArrow(partial(_propose_map, limit + 1), "member long, other long, bits int").distinct()
     nearest = W.partitionBy("member").orderBy("bits", "other")
     return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= limit + 1)
 
 
-def set_links(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """``node, root`` of the components of the different ``sets`` (``set_id, sig, n, prefix, sketch, first``); None without links."""
+def _still_open(members: DataFrame, roots: DataFrame, last: DataFrame) -> DataFrame:
+    """The lists that hold a set with more to propose, with the components found so far."""
+    more = last.groupBy(F.col("member").alias("set_id")).agg(F.lit(True).alias("_open"))
+    of = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_root"))
+    marked = members.select("key", "set_id", "n", "sketch").join(of, "set_id", "left").join(more, "set_id", "left").select(
+        "key", "set_id", "n", "sketch", F.coalesce("_root", "set_id").alias("root"), F.coalesce("_open", F.lit(False)).alias("open")
+    )
+    return marked.join(marked.filter("open").select("key").distinct(), "key", "left_semi")
+
+
+def _texts_of(chosen: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """``set_id, text`` of the chosen sets, from the documents."""
+    known = _stored(chosen.join(sets.select("set_id", "sig", "first"), "set_id"), "chosen")
+    same = docs["doc_id"].cast("long").eqNullSafe(known["first"])
+    texts = docs.join(known, same).select("set_id", "sig", "text").mapInArrow(_text_map, "set_id long, text string")
+    return _stored(texts.groupBy("set_id").agg(F.first("text").alias("text")), "texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``pairs`` that link. Only the texts of their sets are sent."""
+    with_b = pairs.join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
+    of_a = texts.join(_stored(pairs.select(F.col("a").alias("set_id")).distinct(), "firsts"), "set_id")
+    both = with_b.join(of_a.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify_map, "a long, b long").distinct()
+
+
+def set_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, root`` of the components of the different ``sets`` (``set_id, sig, n, prefix, sketch, first``)."""
     b = boundary(sets)
     postings = sets.select("set_id", "n", "prefix").mapInArrow(partial(_key_map, b), "key long, set_id long")
     shared = postings.repartition("key").sortWithinPartitions("key", "set_id").mapInArrow(_shared_map, "key long, set_id long")
-    members = _stored(shared.distinct().join(sets.select("set_id", "n", "sketch"), "set_id"), "lists")
-    known = members.select("set_id").distinct().join(sets.select("set_id", "sig", "first"), "set_id")
-    same = docs["doc_id"].cast("long").eqNullSafe(known["first"])
-    texts = docs.join(known, same).select("set_id", "sig", "text").mapInArrow(_text_map, "set_id long, text string")
-    texts = _stored(texts.dropDuplicates(["set_id"]), "texts")
-    links = tried = roots = None
+    lists = _stored(shared.join(sets.select("set_id", "n", "sketch"), "set_id"), "lists")
+    members = lists.withColumn("root", F.col("set_id")).withColumn("open", F.lit(True))
+    texts = links = tried = None
     limit = PROPOSALS
     while True:
-        proposed = _stored(_proposed(members, roots, limit), "proposals")
+        proposed = _stored(_proposed(members, limit), "proposals")
+        if texts is None:
+            # A set that nothing may link with proposes nothing now and is never proposed later.
+            chosen = proposed.select(F.col("member").alias("set_id")).distinct()
+            texts = _texts_of(chosen, sets, docs)
+            lists = _stored(lists.join(texts.select("set_id"), "set_id", "left_semi"), "lists")
         pair = [F.least("member", "other").alias("a"), F.greatest("member", "other").alias("b")]
         pairs = proposed.filter(F.col("place") <= limit).select(*pair).distinct()
         fresh = _stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = fresh if tried is None else tried.union(fresh)
-        with_b = fresh.join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
-        both = with_b.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
-        good = _stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify_map, "a long, b long"), "verified")
+        good = _stored(_verified(fresh, texts), "verified")
         links = good if links is None else links.union(good)
-        more = not proposed.filter(F.col("place") > limit).isEmpty()
-        if more or roots is None or not good.isEmpty():
-            roots = components(links)
-        if not more:
+        last = proposed.filter(F.col("place") > limit)
+        roots = components(links)
+        if last.isEmpty():
             return roots
+        members = _stored(_still_open(lists, roots, last), "members")
         limit *= GROWTH
 
 
