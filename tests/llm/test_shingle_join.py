@@ -124,8 +124,17 @@ def test_needed_overlap_and_keys():
 def test_frequent_shingles_have_higher_levels(frame):
     rows = [(i, f"the same four words and then {i} a{i} b{i} c{i}") for i in range(64)]
     levels = J.frequency_levels(frame(rows).select("doc_id", "text"))
-    bucket = J._bucket(J.hashes({b"the same four words"}), J.BUCKETS)
-    assert levels[bucket][0] == 48 and (levels == 48).sum() <= 4  # 8 * log2(65)
+    bucket = J._bucket(J.hashes({b"the same four words"}), len(levels))
+    assert len(levels) == J.FEWEST_BUCKETS and levels[bucket][0] == 48 and (levels == 48).sum() <= 4  # 8 * log2(65)
+
+
+def test_the_filter_loses_no_document(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("if(id = 7, null, id) as doc_id", "'x' as text")
+    ids = spark.createDataFrame([(None,), *((i,) for i in range(0, 3000, 13))], "first long")
+    for bits in (1 << 25, 1 << 15, 40):
+        monkeypatch.setattr(J, "FILTER_BITS", bits)
+        kept = {r["doc_id"] for r in J._wanted(docs, ids).collect()}
+        assert kept >= {None, *range(0, 3000, 13)} and (bits == 40 or len(kept) < 400)
 
 
 def test_empty(frame):

@@ -1,8 +1,8 @@
 """N-gram Jaccard join: documents whose sets of word shingles overlap by 85 % of their union, as connected components.
 
 Equal sets collapse to one before anything else. Shingles stand in one global order, rare ones first: their frequencies are
-counted in ``BUCKETS`` counters, of which every task gets one byte each, a fixed size. (Any order gives right results; a good one
-gives short lists.) Two sets that link share the first elements of that order among few of their own first ones, and this is
+counted in counters, some per document up to ``MOST_BUCKETS``, of which every task gets one byte each. (Any order gives right
+results; a good one gives short lists.) Two sets that link share the first elements of that order among few of their own first ones, and this is
 asked in two ways, by size:
 
 * Small sets enumerate their subsets of two: linked sets share one of those over their first ``missing + 2`` elements.
@@ -46,13 +46,16 @@ from weirflow.session import scratch_path
 SHINGLE = 4
 #: Link when ``100 * intersection >= PERCENT * union``.
 PERCENT = 85
-BUCKETS = 1 << 22
+#: Counters of shingles: so many per document, in powers of two within these bounds.
+BUCKETS_PER_DOCUMENT, FEWEST_BUCKETS, MOST_BUCKETS = 64, 1 << 16, 1 << 24
 SLICES = 1024
+#: Bits of the filter for documents whose text is asked for; 4 MB.
+FILTER_BITS = 1 << 25
 #: Members of one list that are compared in one group.
 BLOCK = 2048
 SKETCH_BITS = 256
 #: Nearest sets a set proposes in the first round, and how much that grows from round to round.
-PROPOSALS, GROWTH = 3, 16
+PROPOSALS, GROWTH = 4, 64
 #: Lists up to this length are compared side by side.
 SHORT = 32
 _SEED = 0x5E7
@@ -90,22 +93,10 @@ def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
 
 def _count_map(buckets: int, slices: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counters of all shingles of a task, in slices."""
-    counts, waiting, held = np.zeros(buckets, np.int64), [], 0
-
-    def count() -> None:
-        if waiting:
-            np.add(counts, np.bincount(_bucket(np.concatenate(waiting), buckets), minlength=buckets), out=counts)
-            waiting.clear()
-
+    counts = np.zeros(buckets, np.uint32)
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            waiting.append(hashes(shingles(text)))
-            held += len(waiting[-1])
-            if held > buckets:
-                count()
-                held = 0
-    count()
-    counts = counts.astype(np.uint32)
+            np.add.at(counts, _bucket(hashes(shingles(text)), buckets), np.uint32(1))
     parts = counts.reshape(slices, -1)
     used = np.flatnonzero(parts.any(axis=1))
     packed = [zlib.compress(parts[k].tobytes(), 1) for k in used]
@@ -134,10 +125,12 @@ def _level_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequency_levels(docs: DataFrame) -> np.ndarray:
-    """One byte per counter; ``BUCKETS`` bytes whatever the table."""
-    counted = docs.select("text").mapInArrow(partial(_count_map, BUCKETS, SLICES), "slice int, counts binary")
+    """One byte per counter, ``MOST_BUCKETS`` bytes at most."""
+    wanted = min(max(BUCKETS_PER_DOCUMENT * docs.count(), FEWEST_BUCKETS), MOST_BUCKETS)
+    buckets = 1 << (wanted - 1).bit_length()
+    counted = docs.select("text").mapInArrow(partial(_count_map, buckets, SLICES), "slice int, counts binary")
     summed = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(_level_map, "slice int, levels binary")
-    out = np.zeros((SLICES, BUCKETS // SLICES), np.uint8)
+    out = np.zeros((SLICES, buckets // SLICES), np.uint8)
     for row in summed.collect():  # SLICES rows at most
         out[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
     return out.ravel()
@@ -369,20 +362,37 @@ def _proposed(members: DataFrame, limit: int) -> DataFrame:
 
 
 def _still_open(members: DataFrame, roots: DataFrame, last: DataFrame) -> DataFrame:
-    """The lists that hold a set with more to propose, with the components found so far."""
+    """The members of lists with the components found so far, and whether they have more to propose."""
     more = last.groupBy(F.col("member").alias("set_id")).agg(F.lit(True).alias("_open"))
     of = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_root"))
     marked = members.select("key", "set_id", "n", "sketch").join(of, "set_id", "left").join(more, "set_id", "left").select(
         "key", "set_id", "n", "sketch", F.coalesce("_root", "set_id").alias("root"), F.coalesce("_open", F.lit(False)).alias("open")
     )
-    return marked.join(marked.filter("open").select("key").distinct(), "key", "left_semi")
+    return marked
+
+
+def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is among ``ids`` (column ``first``), and a few others, by a bitmap of fixed size.
+
+    It spares the shuffle of texts that no one asks for.
+    """
+    number = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)) + 1
+    asked = ids.select(F.col("first").alias("id")).select(number.alias("number"))
+    bitmap = asked.groupBy(F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
+    )
+    told = docs.withColumn("id", F.col("doc_id")).withColumn("number", number).withColumn("bucket", F.bitmap_bucket_number("number"))
+    place = F.bitmap_bit_position("number").cast("int")
+    octet = F.conv(F.hex(F.substr("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = octet.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
+    return told.join(F.broadcast(bitmap), "bucket").filter(hit).select(*docs.columns)  # FILTER_BITS bits
 
 
 def _texts_of(chosen: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """``set_id, text`` of the chosen sets, from the documents."""
     known = _stored(chosen.join(sets.select("set_id", "sig", "first"), "set_id"), "chosen")
-    same = docs["doc_id"].cast("long").eqNullSafe(known["first"])
-    texts = docs.join(known, same).select("set_id", "sig", "text").mapInArrow(_text_map, "set_id long, text string")
+    wanted = _wanted(docs, known)
+    texts = wanted.join(known, wanted["doc_id"].eqNullSafe(known["first"])).select("set_id", "sig", "text").mapInArrow(_text_map, "set_id long, text string")
     return _stored(texts.groupBy("set_id").agg(F.first("text").alias("text")), "texts")
 
 
@@ -428,7 +438,7 @@ def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    levels = spark.sparkContext.broadcast(frequency_levels(rows).tobytes())  # BUCKETS bytes
+    levels = spark.sparkContext.broadcast(frequency_levels(rows).tobytes())  # MOST_BUCKETS bytes at most
     every = _stored(rows.mapInArrow(partial(_set_map, levels), _SETS), "sets")
     different = every.filter("n > 0").groupBy("sig").agg(
         F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "prefix", "sketch", "light", "heavy"))
