@@ -73,14 +73,43 @@ def test_features_are_filled(spark):
     assert tuple(df.first()) == (0.0, 0.0, 3.0)
 
 
-def test_store_is_partitioned_and_pruned(spark, tmp_path, sf_dir):
+def test_the_store_is_read_by_file_and_field(spark, tmp_path, sf_dir):
     from weirflow.plans import catalog
 
     path = str(tmp_path / "store")
-    tables.write_store(catalog.flagged(spark, sf_dir), path)
+    flagged = catalog.flagged(spark, sf_dir)
+    tables.write_store(flagged, path)
     start, stop = catalog.moment("2024-01-10 00:00:00"), catalog.moment("2024-01-12 00:00:00")
-    part = files.scan(files.read_store(spark, path), "water_telemetry", start, stop).select("L_T1")
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(ts)" in plan
-    assert "L_T2" not in plan
-    assert files.scan(files.read_store(spark, path), "other").count() == 0
+    every = len(spark.read.parquet(path).inputFiles())
+    part = files.scan(spark, path, "water_telemetry", start, stop)
+    assert 0 < len(part.inputFiles()) <= 4 < 25 < every
+    level = part.select("L_T1")
+    assert level.count() == flagged.filter((F.col("ts") >= start) & (F.col("ts") < stop)).count()
+    scanned = level._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ts:timestamp_ntz,L_T1:float>" in scanned and "PushedFilters: [IsNotNull(ts)" in scanned
+    assert files.scan(spark, path, "other").count() == 0
+    assert files.scan(spark, path, "water_telemetry", catalog.moment("2030-01-01 00:00:00")).count() == 0
+
+
+def test_the_index_knows_the_alert_types_of_a_file(spark, tmp_path):
+    rows = [(k, f"2024-01-{1 + k // 50:02d} 00:{k % 50:02d}:00", "RARE" if k == 120 else "NORMAL") for k in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, ts string, alert_type string").selectExpr(
+        "event_id", "cast(ts as timestamp_ntz) as ts", "alert_type", "cast(event_id as float) as L_T1", "'x' as timestamp"
+    )
+    path = str(tmp_path / "store")
+    tables.write_store(df, path)
+    rare = files.scan(spark, path, "water_telemetry", alerts=["RARE"])
+    assert [r["event_id"] for r in rare.collect()] == [120] and len(rare.inputFiles()) == 1
+    index = spark.read.parquet(f"{path}/{tables.INDEX}").collect()
+    assert sum(r["n"] for r in index) == 200 and spark.read.parquet(path).count() == 200
+
+
+def test_one_busy_time_is_divided(spark, tmp_path):
+    df = spark.range(4000).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "'NORMAL' as alert_type")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_store(df, str(tmp_path / "store"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "store" / tables.INDEX)).collect()]
+    assert len(sizes) > 4 and max(sizes) < 1500

@@ -9,8 +9,12 @@ from weirflow.plans import catalog, oracle
 QUERIES, ORACLE = catalog.queries(), oracle.statements()
 
 
+#: What a forest predicts has no SQL meaning; tests/test_learning.py holds these to bounds.
+WITHOUT_SQL = {"ml_predict", "ml_feature_importances", "ml_report", "rule_vs_model"}
+
+
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLE)
 
 
 def test_entry(spark):

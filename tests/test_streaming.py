@@ -1,4 +1,8 @@
+import time
+from pathlib import Path
+
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.compare import difference
@@ -6,7 +10,7 @@ from weirflow.operators import classify as C
 from weirflow.plans import catalog
 from weirflow.session import scratch_path
 from weirflow.sources import streams
-from weirflow.streaming import pipeline, windows
+from weirflow.streaming import pipeline, rollups, silences, windows
 
 
 @pytest.fixture(scope="module")
@@ -122,6 +126,184 @@ def test_closed_windows_only(spark, message_path):
     assert spark.read.parquet(path).count() > 100
 
 
+MESSAGE = '{{"timestamp": "2024-01-{:02d}T{:02d}:00:00Z", {}}}'
+READINGS = ", ".join(f'"L_T{k}": {v}' for k, v in enumerate((5.0, 3.0, 3.2, 3.0, 2.5, 3.0, 3.5), 1))
+
+
+def messages(spark, *rows):
+    """Messages (day, hour, level) of otherwise equal records."""
+    texts = [MESSAGE.format(day, hour, READINGS.replace("5.0", str(level))) for day, hour, level in rows]
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def latest_level(spark, root):
+    found = pipeline.last_values(spark, root).filter("field = 'L_T1'").collect()
+    return {(str(r["_time"])[8:13], r["value"]) for r in found}
+
+
+def test_late_and_repeated_batches_change_no_latest_value(spark):
+    root = scratch_path(spark, "tables")
+    write = pipeline.table_writer(root, "run-a")
+    write(messages(spark, (3, 10, 4.5), (3, 9, 4.25)), 0)
+    assert latest_level(spark, root) == {("03 10", 4.5)}
+    late = messages(spark, (2, 23, 4.75))
+    write(late, 1)
+    write(late, 1)
+    assert latest_level(spark, root) == {("03 10", 4.5)}
+    write(messages(spark, (3, 11, 4.125)), 2)
+    assert latest_level(spark, root) == {("03 11", 4.125)}
+    # A second run of the same messages merges into the same values.
+    pipeline.table_writer(root, "run-b")(messages(spark, (3, 10, 4.5), (3, 9, 4.25)), 0)
+    assert latest_level(spark, root) == {("03 11", 4.125)}
+
+
+def test_latest_values_continue_after_a_restart_and_need_no_history(spark):
+    root = scratch_path(spark, "tables")
+    pipeline.table_writer(root, "run-a")(messages(spark, (3, 10, 4.5)), 0)
+    write = pipeline.table_writer(root, "run-a")  # a new process
+    for k in range(1, 4):
+        write(messages(spark, (2, k, 4.75)), k)
+    assert latest_level(spark, root) == {("03 10", 4.5)}
+    read = pipeline.last_values(spark, root).inputFiles()
+    assert read and all("/latest/run=run-a/batch_id=3/" in f for f in read)
+    kept = {p.name for p in Path(root, "latest", "run=run-a").iterdir()}
+    assert kept == {"batch_id=2", "batch_id=3"}
+
+
+def test_an_unpublished_version_is_not_read(spark):
+    root = scratch_path(spark, "tables")
+    pipeline.table_writer(root, "run-a")(messages(spark, (3, 10, 4.5)), 0)
+    half = spark.read.parquet(pipeline.layer(root, "latest", "run-a", 0)).withColumn("value", F.lit(9.0))
+    half.write.parquet(pipeline.layer(root, "latest", "run-a", 1))
+    assert latest_level(spark, root) == {("03 10", 4.5)}
+
+
+def test_rollups_merge_and_late_rows_correct_a_window(spark):
+    root = scratch_path(spark, "tables")
+    write = pipeline.table_writer(root, "run-a")
+    write(messages(spark, (3, 10, 4.5), (3, 11, 4.25), (4, 1, 4.0)), 0)
+    write(messages(spark, (3, 10, 4.75)), 1)
+
+    def levels(df):
+        return {(str(r["_time"])[5:13], r["value"]) for r in df.filter("field = 'L_T1'").collect()}
+
+    parts = pipeline.rollup(spark, root)
+    assert all("/rollups/" in f or "/commits/" in f for f in parts.inputFiles())
+    assert levels(rollups.window_mean(parts, ["L_T1"], "1 hour")) == {("01-03 11", 4.625), ("01-03 12", 4.25), ("01-04 02", 4.0)}
+    assert levels(rollups.window_mean(parts, ["L_T1"], "1 day")) == {("01-04 00", 4.5), ("01-05 00", 4.0)}
+    assert levels(rollups.window_max(parts, ["L_T1"], "1 day")) == {("01-04 00", 4.75), ("01-05 00", 4.0)}
+    pipeline.table_writer(root, "run-b")(messages(spark, (3, 10, 4.5)), 0)
+    with pytest.raises(ValueError, match="name one"):
+        pipeline.rollup(spark, root)
+    assert levels(rollups.window_max(pipeline.rollup(spark, root, "run-b"), ["L_T1"], "1 day")) == {("01-04 00", 4.5)}
+
+
+def test_the_marker_is_filled_while_writing(spark, message_path):
+    """The counts of a batch equal its tables, and no layer is read again for them."""
+    root = scratch_path(spark, "tables")
+    bad = spark.createDataFrame([("{broken",), ('{"L_T1": "x"}',)], "value string")
+    pipeline.table_writer(root, "run-a")(bad.union(streams.replay_text_messages(spark, message_path)), 0)
+    marker = pipeline.published(spark, root).first()
+    counted = {name: pipeline.read_layer(spark, root, name).count() for name in ("bronze", "silver", "rejects")}
+    assert (marker["messages"], marker["flagged"], marker["rejected"]) == tuple(counted.values())
+
+
+def test_a_checkpoint_belongs_to_its_source_root_and_schema(spark, message_path):
+    root, checkpoint = scratch_path(spark, "tables"), scratch_path(spark, "checkpoint")
+    run(spark, message_path, root, checkpoint)
+    with pytest.raises(ValueError, match="root"):
+        run(spark, message_path, scratch_path(spark, "tables"), checkpoint)
+    other = scratch_path(spark, "messages")
+    messages(spark, (3, 1, 4.5)).write.text(other)
+    with pytest.raises(ValueError, match="source"):
+        run(spark, other, root, checkpoint)
+    keyed = scratch_path(spark, "messages")
+    spark.createDataFrame([("k", "{}")], "key string, value string").write.parquet(keyed)
+    with pytest.raises(ValueError, match="schema"):
+        pipeline.start(streams.read_keyed_messages(spark, keyed), root, checkpoint, once=True)
+    run(spark, message_path, root, checkpoint, max_files=2)  # a rate limit may change
+
+
+def test_messages_sent_twice_are_dropped_and_state_is_bounded(spark, tmp_path):
+    """Days in files one after the other, every message twice; what the watermark has passed is forgotten."""
+    source = str(tmp_path / "in")
+    for day in range(1, 13):
+        rows = messages(spark, *[(day, hour, 4.5) for hour in range(24)])
+        rows.union(rows).coalesce(1).write.mode("append").text(source)
+    root = scratch_path(spark, "tables")
+    stream = streams.read_text_messages(spark, source, max_files=1)
+    query = pipeline.start(stream, root, scratch_path(spark, "checkpoint"), once=True, replays_within="1 day")
+    query.awaitTermination(240)
+    assert pipeline.read_layer(spark, root, "bronze").count() == 12 * 24
+    remembered = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(remembered) >= 12 and max(remembered) <= 4 * 24
+
+
+def test_unreadable_messages_do_not_move_the_watermark(spark, tmp_path):
+    source = str(tmp_path / "in")
+    bad = spark.createDataFrame([("{broken",)], "value string")
+    bad.union(messages(spark, (3, 1, 4.5))).coalesce(1).write.mode("append").text(source)
+    messages(spark, (3, 2, 4.5), (3, 1, 4.5)).coalesce(1).write.mode("append").text(source)
+    root = scratch_path(spark, "tables")
+    stream = streams.read_text_messages(spark, source, max_files=1)
+    pipeline.start(stream, root, scratch_path(spark, "checkpoint"), once=True, replays_within="1 day").awaitTermination(240)
+    assert pipeline.read_layer(spark, root, "silver").count() == 2 and pipeline.read_layer(spark, root, "rejects").count() == 1
+
+
+def watch(spark, source, path, checkpoint):
+    flagged = pipeline.flagged_messages(streams.read_text_messages(spark, source, max_files=1))
+    silences.start(flagged, 180, "30 minutes", path, checkpoint, once=True).awaitTermination(240)
+    return sorted((str(r["last_seen"]), str(r["silent_at"])) for r in spark.read.parquet(path).collect())
+
+
+def test_a_restart_in_the_middle_of_a_gap(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    messages(spark, (3, 1, 4.5), (3, 3, 4.5)).coalesce(1).write.mode("append").text(source)
+    messages(spark, (3, 5, 4.5)).coalesce(1).write.mode("append").text(source)
+    assert watch(spark, source, path, checkpoint) == []
+    # Another series goes on, so time passes; the first is silent from 05:00 on.
+    other = messages(spark, (3, 9, 4.5)).select(F.replace("value", F.lit('"L_T4": 3.0'), F.lit('"L_T4": 1.0, "S_PU6": 0')).alias("value"))
+    other.coalesce(1).write.mode("append").text(source)
+    assert watch(spark, source, path, checkpoint) == [("2024-01-03 05:00:00", "2024-01-03 08:00:00")]
+    messages(spark, (3, 20, 4.5)).coalesce(1).write.mode("append").text(source)
+    found = watch(spark, source, path, checkpoint)
+    assert found == [
+        ("2024-01-03 05:00:00", "2024-01-03 08:00:00"), ("2024-01-03 09:00:00", "2024-01-03 12:00:00"),
+    ]
+    table = pipeline.replay(streams.replay_text_messages(spark, source))
+    batch = silences.silences_of(table, 180).collect()
+    assert sorted((str(r["last_seen"]), str(r["silent_at"])) for r in batch) == found
+
+
+def test_an_interval_triggers_batches(spark, tmp_path):
+    source, root = str(tmp_path / "in"), scratch_path(spark, "tables")
+    messages(spark, (3, 1, 4.5)).coalesce(1).write.mode("append").text(source)
+    stream = streams.read_text_messages(spark, source)
+    query = pipeline.start(stream, root, scratch_path(spark, "checkpoint"), interval="1 second")
+    try:
+        deadline = time.monotonic() + 120
+        seen = 0
+        while time.monotonic() < deadline and seen < 2:
+            try:
+                seen = pipeline.read_layer(spark, root, "silver").count()
+            except AnalysisException:
+                seen = 0
+            if seen == 1:
+                messages(spark, (3, 2, 4.5)).coalesce(1).write.mode("append").text(source)
+            time.sleep(1)
+        assert seen >= 2 and query.isActive
+    finally:
+        query.stop()
+
+
+def test_offsets_tell_messages_of_one_key_apart(spark):
+    rows = [("k", '{"timestamp": "2024-01-01T00:00:00Z"}', "t", 0, n) for n in (1, 2)]
+    df = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
+    assert [r[0] for r in df.select(pipeline.source_key(df)).collect()] == ["t/0/1", "t/0/2"]
+    plain = df.drop("offset")
+    assert plain.select(pipeline.source_key(plain)).distinct().count() == 1
+
+
 def test_topic_settings_come_from_the_environment(monkeypatch):
     monkeypatch.setenv("KAFKA_BROKER", "b:1")
     monkeypatch.setenv("KAFKA_TOPIC", "t")

@@ -139,3 +139,24 @@ def test_first_n_beyond_the_window_limit_of_the_optimizer(spark):
     )
     got = TS.first_n(df, ["L_T1"], 1_001)
     assert got.agg(F.count("*"), F.max("value")).first() == (1_001, 1_000.0)
+
+
+def test_a_calendar_of_centuries(spark):
+    """Two records far apart at one second: four billion windows are planned in pieces, and the first ones are right."""
+    df = spark.sql("select timestamp_ntz'1900-01-01 00:00:30' as ts, cast(1 as float) as L_T1 union all "
+                   "select timestamp_ntz'2024-01-01 00:00:05', cast(2 as float)")
+    span = df.selectExpr("date_trunc('day', min(ts)) as first", "date_trunc('day', max(ts)) as last")
+    days = TS.calendar(F.col("first"), F.col("last"), "1 day", span)
+    assert days.count() == 45_291 and days.distinct().count() == 45_291
+    got = TS.throughput(df, "L_T1", "7 days", 1).orderBy("_time").collect()
+    assert len(got) == 6_471 and sum(r["n"] for r in got) == 2 and got[0]["ok"] and got[-1]["ok"] and not got[1]["ok"]
+    # Windows of seconds: the pieces exist without the windows in them.
+    sized = TS.calendar(F.col("first"), F.col("last"), "1 second", span)
+    assert sized.limit(3).count() == 3
+
+
+def test_nan_is_not_present(spark):
+    df = spark.sql("select cast('NaN' as float) as L_T1, 1 as ATT_FLAG")
+    assert [(r["field"], r["n"]) for r in TS.field_presence(df, ["L_T1", "ATT_FLAG", "none"]).collect()] == [
+        ("L_T1", 0), ("ATT_FLAG", 1), ("none", 0)
+    ]

@@ -132,7 +132,9 @@ def tank_violations(df: DataFrame, every: str) -> DataFrame:
     )
 
 
-def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id") -> DataFrame:
+def last(
+    df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id", time: str = TIME, keep_key: bool = False
+) -> DataFrame:
     """Latest value of every series, with its time; among equal times the highest key.
 
     First the latest time per series, then the values of the few records at those
@@ -142,12 +144,13 @@ def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id")
     def time_of(f: str) -> str:
         return f"{f}__time"
 
+    fields = [f for f in fields if f in df.columns]
     times = df.groupBy(SERIES).agg(
-        *(F.max(F.when(number(f).isNotNull(), F.col(TIME))).alias(time_of(f)) for f in fields)
+        *(F.max(F.when(number(f).isNotNull(), F.col(time))).alias(time_of(f)) for f in fields)
     )
     # One row per series tag; whether that is sent to all tasks is decided by its size.
     candidates = df.join(times, SERIES).filter(
-        any_of(F.col(TIME) == F.col(time_of(f)) for f in fields)
+        any_of(F.col(time) == F.col(time_of(f)) for f in fields)
     )
 
     pairs = F.array(
@@ -158,12 +161,13 @@ def last(df: DataFrame, fields: list[str] = POINT_FIELDS, key: str = "event_id")
             for f in fields
         )
     )
-    at_latest = candidates.select(SERIES, TIME, key, F.inline(pairs)).filter(
-        (F.col("_time") == F.col(TIME)) & F.col("value").isNotNull()
+    at_latest = candidates.select(SERIES, F.col(time).alias("_at"), F.col(key).alias("key"), F.inline(pairs)).filter(
+        (F.col("_time") == F.col("_at")) & F.col("value").isNotNull()
     )
-    return at_latest.groupBy(SERIES, "field").agg(
-        F.max("_time").alias("_time"), F.max_by("value", key).alias("value")
+    found = at_latest.groupBy(SERIES, "field").agg(
+        F.max("_time").alias("_time"), F.max("key").alias("key"), F.max_by("value", "key").alias("value")
     )
+    return found if keep_key else found.drop("key")
 
 
 def pivot_latest(df: DataFrame, fields: list[str], key: str = "event_id") -> DataFrame:
@@ -208,23 +212,50 @@ def freshness(df: DataFrame, length: str, anchor: Column | None = None) -> DataF
 
 def field_presence(df: DataFrame, expected: list[str]) -> DataFrame:
     """Present values per expected field; a field without any still shows, with zero."""
-    counts = [F.count(F.col(f) if f in df.columns else F.lit(None)).alias(f) for f in expected]
+    kinds = dict(df.dtypes)
+
+    def value(f: str) -> Column:
+        if f not in kinds:
+            return F.lit(None)
+        return number(f) if kinds[f] in ("float", "double") else F.col(f)  # NaN counts as missing
+
+    counts = [F.count(value(f)).alias(f) for f in expected]
     long = df.agg(*counts).unpivot([], expected, "field", "n")
     return long.select("field", "n", (F.col("n") > 0).alias("present"))
 
 
+#: Windows that one row of the calendar stands for before they are dealt out.
+_CALENDAR_ROWS = 1 << 12
+
+
+def calendar(first: Column, last: Column, every: str, span: DataFrame) -> DataFrame:
+    """``start`` of every window from the first to the last, made in pieces by all tasks.
+
+    ``span`` has one row, to which the bounds belong.
+    """
+    step = F.unix_micros(F.expr(f"TIMESTAMP '1970-01-01 00:00:00 UTC' + INTERVAL {every}"))
+    begin, end = (F.unix_micros(c.cast("timestamp")) for c in (first, last))
+    sized = span.select(begin.alias("_begin"), ((end - begin) / step).cast("long").alias("_last"), step.alias("_step"))
+    pieces = sized.select("*", F.explode(F.sequence(F.lit(0), F.expr(f"_last div {_CALENDAR_ROWS}"))).alias("_piece"))
+    dealt = pieces.repartition("_piece").withColumn("_from", F.col("_piece") * _CALENDAR_ROWS)
+    upto = F.least(F.col("_from") + _CALENDAR_ROWS - 1, F.col("_last"))
+    number = F.explode(F.sequence("_from", upto)).alias("_number")
+    return dealt.select("_begin", "_step", number).select(
+        F.timestamp_micros(F.col("_begin") + F.col("_number") * F.col("_step")).alias("start")
+    )
+
+
 def throughput(df: DataFrame, field: str, every: str, minimum: int) -> DataFrame:
     """Records per window and whether they reach the required number; silent windows count as zero.
 
-    The calendar runs from the first to the last window of the table; a year of minutes is half a million rows.
+    The windows run from the first to the last of the table, which may lie centuries apart.
     """
     counted = df.groupBy(F.window(TIME, every).alias("w")).agg(F.count(number(field)).alias("n"))
     seen = counted.select(F.col("w.start").alias("start"), "n")
-    step = F.expr(f"INTERVAL {every}")
+    kind = dict(seen.dtypes)["start"]
     span = seen.agg(F.min("start").alias("first"), F.max("start").alias("last")).filter("first IS NOT NULL")
-    windows = span.select(F.explode(F.sequence("first", "last", step)).alias("start"))
-    n = F.coalesce("n", F.lit(0)).alias("n")
+    windows = calendar(F.col("first"), F.col("last"), every, span).select(F.col("start").cast(kind).alias("start"))
+    n, step = F.coalesce("n", F.lit(0)).alias("n"), F.expr(f"INTERVAL {every}")
     return windows.join(seen, "start", "left").select((F.col("start") + step).alias("_time"), n).select(
         "_time", "n", (F.col("n") >= minimum).alias("ok")
     )
-

@@ -19,13 +19,13 @@ from weirflow.operators import sampling
 from weirflow.operators import scenarios as S
 from weirflow.operators import timeseries as TS
 from weirflow.schema import (
-    DISPLAYS, FEATURES, LABEL, MEASUREMENT, NORMAL, POINT_FIELDS, RAW_RECORD, RAW_TIME, RECORD, SENSORS,
-    STATUSES, TANKS,
+    DISPLAYS, FEATURES, FLOWS, LABEL, MEASUREMENT, NORMAL, POINT_FIELDS, RAW_RECORD, RAW_TIME, RECORD, RULES,
+    SENSORS, STATUSES, TANKS,
 )
 from weirflow.session import scratch_path, prepared
 from weirflow.sinks import tables as sinks
 from weirflow.sources import events, files, streams
-from weirflow.streaming import pipeline, windows
+from weirflow.streaming import pipeline, rollups, silences, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,15 @@ PUMP_FIELDS = ["S_PU4", "S_PU5", LABEL]
 CANVAS_FIELDS = [*TANKS, *STATUSES, *DISPLAYS]
 EXPECTED_FIELDS = ["L_T1", LABEL, "alert_type", "disp_PU1", "disp_PU2", "disp_PU3"]
 STREAM_WINDOW, STREAM_DELAY = "1 day", "1 hour"
+REPLAY_MEMORY = "60 days"
+SILENT_MINUTES, SILENCE_DELAY = 180, "30 minutes"
+ROLLUP_WINDOW, ROLLUP_LONGER = "1 hour", "1 day"
+MESSAGE_FILES, FILES_PER_BATCH = 6, 2
+#: A linear model of the levels alone, for scoring in Python that SQL can follow.
+LINEAR_WEIGHTS = [(k + 1) / 8 if f in TANKS else 0.0 for k, f in enumerate(FEATURES)]
+LINEAR_THRESHOLD = 10.5
+#: Rows a forest is fitted on at most.
+FIT_ROWS = 200_000
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -107,10 +116,18 @@ def delimited_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [files.read_delimited(spark, p) for p in paths]
 
 
-def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "store")
-    sinks.write_store(flagged(spark, sf_dir), path)
-    return files.read_store(spark, path)
+#: Stored tables by application and source.
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def store(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored table; written once per application."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _STORES:
+        path = scratch_path(spark, "store")
+        sinks.write_store(flagged(spark, sf_dir), path)
+        _STORES[known] = path
+    return _STORES[known]
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -308,12 +325,21 @@ def line_protocol(spark, sf_dir):
 
 @query
 def scan_measurement(spark, sf_dir):
-    return TS.points(files.scan(store(spark, sf_dir), MEASUREMENT), ["L_T1"])
+    return TS.points(files.scan(spark, store(spark, sf_dir), MEASUREMENT), ["L_T1"])
 
 
 @query
 def range_abs(spark, sf_dir):
-    part = files.scan(store(spark, sf_dir), MEASUREMENT, moment(RANGE_START), moment(RANGE_STOP))
+    part = files.scan(spark, store(spark, sf_dir), MEASUREMENT, moment(RANGE_START), moment(RANGE_STOP))
+    return TS.points(part, ["L_T1"])
+
+
+@query
+def range_alerts(spark, sf_dir):
+    """A range of some alert types, by the index of the stored table."""
+    part = files.scan(
+        spark, store(spark, sf_dir), MEASUREMENT, moment(RANGE_START), moment(RANGE_STOP), [r.stuck_off for r in RULES[:2]]
+    )
     return TS.points(part, ["L_T1"])
 
 
@@ -565,6 +591,73 @@ def stream_replay_counts(spark, sf_dir):
     return C.alert_counts(pipeline.distinct_records(pipeline.read_layer(spark, root, "silver")))
 
 
+def keyed_messages(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """Messages with their keys in several files, as often as asked."""
+    path = scratch_path(spark, "messages")
+    for _ in range(copies):
+        keyed = events.messages(spark, sf_dir).select("key", "value")
+        keyed.repartition(MESSAGE_FILES, "key").write.mode("append").parquet(path)
+    return path
+
+
+def stream_keyed(spark: SparkSession, sf_dir: str, root: str, copies: int = 1, **options) -> None:
+    source = streams.read_keyed_messages(spark, keyed_messages(spark, sf_dir, copies), FILES_PER_BATCH)
+    pipeline.start(source, root, scratch_path(spark, "checkpoint"), once=True, **options).awaitTermination()
+
+
+def plain_time(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in names})
+
+
+@query
+def stream_last_values(spark, sf_dir):
+    """Latest values kept by the stream, over several batches."""
+    root = scratch_path(spark, "tables")
+    stream_keyed(spark, sf_dir, root)
+    return plain_time(pipeline.last_values(spark, root), "_time").select("alert_type", "field", "_time", "value")
+
+
+@query
+def rollup_window_mean(spark, sf_dir):
+    root = scratch_path(spark, "tables")
+    stream_keyed(spark, sf_dir, root)
+    means = rollups.window_mean(pipeline.rollup(spark, root), TANKS, ROLLUP_WINDOW)
+    return rounded(plain_time(means, "_time"), "value")
+
+
+@query
+def rollup_window_max(spark, sf_dir):
+    """Extremes of windows longer than those that are kept."""
+    root = scratch_path(spark, "tables")
+    stream_keyed(spark, sf_dir, root)
+    return plain_time(rollups.window_max(pipeline.rollup(spark, root), TANKS, ROLLUP_LONGER), "_time")
+
+
+@query
+def stream_distinct_counts(spark, sf_dir):
+    """Every message sent twice; the second is dropped inside the stream."""
+    root = scratch_path(spark, "tables")
+    stream_keyed(spark, sf_dir, root, copies=2, replays_within=REPLAY_MEMORY)
+    return C.alert_counts(pipeline.read_layer(spark, root, "silver"))
+
+
+@query
+def stream_silences(spark, sf_dir):
+    source = streams.read_text_messages(spark, message_files(spark, sf_dir))
+    path = scratch_path(spark, "silences")
+    silences.start(
+        pipeline.flagged_messages(source), SILENT_MINUTES, SILENCE_DELAY, path, scratch_path(spark, "checkpoint"), once=True
+    ).awaitTermination()
+    found = spark.read.schema("alert_type string, last_seen timestamp, silent_at timestamp").parquet(path)
+    return plain_time(found, "last_seen", "silent_at")
+
+
+@query
+def silent_series(spark, sf_dir):
+    """The same probe over stored records."""
+    return silences.silences_of(flagged(spark, sf_dir), SILENT_MINUTES, time="ts")
+
+
 @query
 def stream_window_mean(spark, sf_dir):
     source = streams.read_text_messages(spark, message_files(spark, sf_dir))
@@ -580,20 +673,65 @@ def stream_window_mean(spark, sf_dir):
 # --- learning ------------------------------------------------------------------------------------
 
 
+def held_out(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A forest fitted on three quarters of the training mix, at most ``FIT_ROWS`` rows, and applied to the rest."""
+    mix = S.training_mix(quiet_base(spark, sf_dir), ORDER)
+    number = F.substring("key", 5, 20).cast("long").alias("number")
+    return L.evaluate(mix.select(number, *TANKS, *FLOWS, *STATUSES, LABEL), "number", fit_rows=FIT_ROWS)
+
+
 @query
 def ml_predict(spark, sf_dir):
-    """Held-out records and whether each got a prediction; what it is depends on the forest."""
-    judged = L.evaluate(training_rows(spark, sf_dir), "event_id")["predictions"]
-    return judged.select("event_id", LABEL, F.coalesce(F.col(L.ALERT).isin(0, 1), F.lit(False)).alias("scored"))
+    """Held-out records of the training mix with label and prediction."""
+    return held_out(spark, sf_dir)["predictions"].select("number", LABEL, L.ALERT)
 
 
 @query
 def ml_feature_importances(spark, sf_dir):
-    """Ranks of the most telling features of the model fitted on the training part, and whether their weights make sense."""
-    top = L.evaluate(training_rows(spark, sf_dir), "event_id")["importances"]  # ten rows
+    return held_out(spark, sf_dir)["importances"]
+
+
+@query
+def ml_report(spark, sf_dir):
+    return held_out(spark, sf_dir)["report"]
+
+
+@query
+def rule_vs_model(spark, sf_dir):
+    """Held-out records by what the rules and what the model say."""
+    judged = held_out(spark, sf_dir)["predictions"]
+    return L.rule_versus_model(judged.withColumn("alert_type", rules.alert_type()))
+
+
+@query
+def ml_held_out(spark, sf_dir):
+    """Which labelled records are held out, and that each gets a verdict: what SQL can know of a forest."""
+    judged = L.evaluate(training_rows(spark, sf_dir), "event_id", trees=5, depth=4, fit_rows=FIT_ROWS)["predictions"]
+    return judged.select("event_id", LABEL, F.coalesce(F.col(L.ALERT).isin(0, 1), F.lit(False)).alias("scored"))
+
+
+@query
+def ml_importance_ranks(spark, sf_dir):
+    """Ranks of the weights of a forest, and whether they make sense."""
+    top = L.evaluate(training_rows(spark, sf_dir), "event_id", trees=5, depth=4, fit_rows=FIT_ROWS)["importances"]  # ten rows
     by_weight = Window.orderBy(F.desc("importance"), "feature")
     previous = F.coalesce(F.lag("importance").over(by_weight), F.lit(1.0))
     return top.select(
         F.row_number().over(by_weight).alias("rank"), F.col("importance").between(0, 1).alias("in_range"),
         (F.col("importance") <= previous).alias("ordered"),
     )
+
+
+def linear(df: DataFrame) -> DataFrame:
+    return L.score_with(df, L.LinearModel(LINEAR_WEIGHTS, LINEAR_THRESHOLD))
+
+
+@query
+def ml_linear_scores(spark, sf_dir):
+    """A Python model over the whole table."""
+    return linear(telemetry(spark, sf_dir).select("event_id", *FEATURES)).select("event_id", L.ALERT)
+
+
+@query
+def rule_vs_linear(spark, sf_dir):
+    return L.rule_versus_model(linear(flagged(spark, sf_dir)))

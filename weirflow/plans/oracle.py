@@ -500,10 +500,37 @@ def _json(names) -> str:
     return f"CAST(to_json(struct_pack({body})) AS VARCHAR)"
 
 
+def _linear() -> str:
+    weighted = " + ".join(f"{_filled(f)} * {d(w)}" for f, w in zip(FEATURES, Q.LINEAR_WEIGHTS) if w)
+    return f"CASE WHEN {weighted} > {d(Q.LINEAR_THRESHOLD)} THEN 1 ELSE 0 END"
+
+
+def _rolled(fn: str, width: str, value: str) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT time_bucket(INTERVAL '{width}', et) + INTERVAL '{width}' AS _time, alert_type, '{f}' AS field, "
+        f"{fn}(CAST({f} AS DOUBLE)) AS value FROM st WHERE {f} IS NOT NULL GROUP BY 1, 2" for f in TANKS
+    )
+    return f"SELECT _time, alert_type, field, {value} FROM ({parts})"
+
+
+def _silent(source: str, time: str, delay: str) -> str:
+    limit = f"INTERVAL '{Q.SILENT_MINUTES} minute'"
+    return (
+        f"times AS (SELECT DISTINCT alert_type, {time} AS t FROM {source}), "
+        "pairs AS (SELECT *, lead(t) OVER (PARTITION BY alert_type ORDER BY t) AS following FROM times), "
+        f"silent AS (SELECT alert_type, t AS last_seen, t + {limit} AS silent_at FROM pairs "
+        f"WHERE (following IS NULL OR following > t + {limit}) AND t + {limit} <= (SELECT max(t) FROM times) - {delay})"
+    )
+
+
+SILENT = "SELECT * FROM silent"
+
+
 def statements() -> dict[str, str]:
     raw, normal, pay, parsed = _raw(), _normal(), _payload(), _parsed()
     mix = _mix()
     stream = (parsed, _flag("parsed", "fl"))
+    timed = "st AS (SELECT *, strptime(\"timestamp\", '%Y-%m-%dT%H:%M:%SZ') AS et FROM fl)"
     verdict = "CASE WHEN alert_type <> 'NORMAL' THEN 1 ELSE 0 END"
     diffs = ", ".join(
         f"CAST({c} AS DOUBLE) - lag(CAST({c} AS DOUBLE)) OVER (ORDER BY ts, event_id) AS {c}_diff" for c in SENSORS
@@ -568,6 +595,9 @@ def statements() -> dict[str, str]:
         "scan_measurement": with_(FLAGGED) + points(["L_T1"]),
         "range_abs": with_(FLAGGED)
         + points(["L_T1"]) + f" AND ts >= TIMESTAMP '{Q.RANGE_START}' AND ts < TIMESTAMP '{Q.RANGE_STOP}'",
+        "range_alerts": with_(FLAGGED)
+        + points(["L_T1"]) + f" AND ts >= TIMESTAMP '{Q.RANGE_START}' AND ts < TIMESTAMP '{Q.RANGE_STOP}' "
+        f"AND alert_type IN ({', '.join(repr(r.stuck_off) for r in RULES[:2])})",
         "range_relative": with_(FLAGGED)
         + points(["L_T1"]) + " AND ts >= (SELECT max(ts) FROM fl) - INTERVAL '1 day'",
         "field_in": with_(FLAGGED) + points(Q.PUMP_FIELDS),
@@ -635,15 +665,27 @@ def statements() -> dict[str, str]:
         + f"SELECT scenario, count(*) AS n, count(*) FILTER (WHERE a <> 'NORMAL') AS caught, "
         "round(CAST(count(*) FILTER (WHERE a <> 'NORMAL') AS DOUBLE) / count(*), 6) AS share "
         f"FROM (SELECT scenario, {_alert()} AS a FROM mix WHERE scenario <> 'NORMAL' AND base_alert = 'NORMAL') GROUP BY 1",
-        # learning: what is held out, and the form of the answer
-        "ml_predict": f"SELECT event_id, {LABEL}, true AS scored FROM ("
+        # learning: what is held out, and the form of the answer; predictions have no SQL meaning
+        "ml_held_out": f"SELECT event_id, {LABEL}, true AS scored FROM ("
         + with_(CLEAN, TRAINING).rstrip() + _split() + ") WHERE split = 'validation'",
-        "ml_feature_importances": f"SELECT CAST(unnest(range(1, {Q.TOP_K + 1})) AS INTEGER) AS rank, true AS in_range, true AS ordered "
+        "ml_importance_ranks": f"SELECT CAST(unnest(range(1, {Q.TOP_K + 1})) AS INTEGER) AS rank, true AS in_range, true AS ordered "
         "WHERE EXISTS (SELECT 1 FROM events)",
+        "ml_linear_scores": with_() + f"SELECT event_id, {_linear()} AS ml_alert FROM tel",
+        "rule_vs_linear": with_(FLAGGED) + f"SELECT alert_type, {_linear()} AS ml_alert, count(*) AS n FROM fl GROUP BY 1, 2",
         # streams
         "stream_alert_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
         "stream_replay_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
-        "stream_window_mean": with_(*stream, "st AS (SELECT *, strptime(\"timestamp\", '%Y-%m-%dT%H:%M:%SZ') AS et FROM fl)")
+        "stream_distinct_counts": with_(*stream) + "SELECT alert_type, count(*) AS n FROM fl GROUP BY 1",
+        "stream_last_values": with_(*stream, timed)
+        + " UNION ALL ".join(
+            f"SELECT alert_type, '{f}' AS field, max(et) AS _time, arg_max(CAST({f} AS DOUBLE), (et, key || ':')) AS value "
+            f"FROM st WHERE {f} IS NOT NULL GROUP BY alert_type" for f in POINT_FIELDS
+        ),
+        "rollup_window_mean": with_(*stream, timed) + _rolled("avg", "1 hour", "round(value, 6) AS value"),
+        "rollup_window_max": with_(*stream, timed) + _rolled("max", "1 day", "value"),
+        "stream_silences": with_(*stream, timed, _silent("st", "et", "INTERVAL '30 minute'")) + SILENT,
+        "silent_series": with_(FLAGGED, _silent("fl", "ts", "INTERVAL '0 minute'")) + SILENT,
+        "stream_window_mean": with_(*stream, timed)
         + "SELECT time_bucket(INTERVAL '1 day', et) + INTERVAL '1 day' AS _time, alert_type, "
         "round(avg(CAST(L_T1 AS DOUBLE)), 6) AS value, count(L_T1) AS n FROM st GROUP BY 1, 2 "
         "HAVING _time <= (SELECT max(et) FROM st) - INTERVAL '1 hour'",

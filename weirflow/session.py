@@ -16,6 +16,9 @@ SETTINGS = {
     # Records are wide and rules many. Above 8000 bytes the JVM only interprets a generated
     # method; below this limit Spark uses its split, compilable form instead (10-30 times faster).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # State of streams lives on disk, not on the heap; operators with timers need it.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -63,3 +66,9 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; never reused, so retries cannot collide."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table of this library that nothing reads any more; one that is gone already is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

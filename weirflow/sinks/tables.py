@@ -9,20 +9,32 @@ from weirflow.operators.payloads import export_view, to_messages, to_payload
 from weirflow.operators.timeseries import TIME, lines
 
 
-def write_store(flagged: DataFrame, path: str, time: str = TIME) -> None:
-    """Telemetry table: one folder per event date, ordered by alert and time inside a file.
+#: Folder of a stored table with what each of its files holds; hidden from readers of the table itself.
+INDEX = "_index"
 
-    The date is the range-partition key together with the time, so a busy date is
-    spread over several tasks and files instead of being funnelled into one.
+
+def write_store(flagged: DataFrame, path: str, time: str = TIME, key: str = "event_id") -> None:
+    """Telemetry table: one folder per event date, rows in order of time, and an index of its files.
+
+    The unique key ends the range key, so a busy date or a single busy time is spread over several tasks and files.
+    Sorted files have narrow times per row group; a Bloom filter tells row groups without an alert type. The index, written last,
+    says which times and alert types each file holds.
     """
+    order = ["date", time, key]
     (
         flagged.withColumn("date", F.to_date(time))
-        .repartitionByRange("date", time)
-        .sortWithinPartitions("date", "alert_type", time)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#alert_type", "true")
+        .option("parquet.bloom.filter.expected.ndv#alert_type", "64")
         .partitionBy("date")
         .parquet(path)
     )
+    files = flagged.sparkSession.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), time, "alert_type")
+    files.groupBy("file").agg(
+        F.min(time).alias("oldest"), F.max(time).alias("newest"), F.collect_set("alert_type").alias("alerts"), F.count("*").alias("n")
+    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/{INDEX}")
 
 
 def write_messages(df: DataFrame, path: str) -> None:

@@ -86,3 +86,32 @@ def bronze_columns(messages: DataFrame) -> DataFrame:
     """Message text untouched, with whatever the source tells about its origin."""
     origin = [c for c in ("key", "topic", "partition", "offset", "timestamp") if c in messages.columns]
     return messages.select(F.col("value").cast("string").alias("value"), *origin)
+
+
+#: Options that say what a source is; others, such as rate limits, may change from start to start.
+_IDENTITY = ("path", "kafka.bootstrap.servers", "subscribe", "subscribePattern", "assign")
+
+
+def describe(messages: DataFrame) -> str:
+    """What a stream reads, the same text in every session."""
+    leaves, out = messages._jdf.queryExecution().analyzed().collectLeaves(), []
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.nodeName().startswith("StreamingRelationV2"):
+            kind, options = leaf.sourceName(), leaf.extraOptions().asCaseSensitiveMap()
+            found = {name: options.get(name) for name in _IDENTITY if options.containsKey(name)}
+        elif leaf.nodeName() == "StreamingRelation":
+            kind, options = leaf.dataSource().className(), leaf.dataSource().options()
+            found = {name: options.get(name).get() for name in _IDENTITY if options.contains(name)}
+        else:
+            kind, found = leaf.nodeName(), {}
+        out.append(" ".join([kind, *(f"{name}={value}" for name, value in found.items())]))
+    return "; ".join(out)
+
+
+def read_keyed_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stored messages with their keys (columns ``key, value``) as a stream."""
+    reader = spark.readStream.schema("key string, value string")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
