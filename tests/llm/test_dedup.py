@@ -148,3 +148,14 @@ def test_components_of_a_long_path(spark):
 def test_empty_tables(frame, spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert run(frame([(None, None)])).count() == 1
+
+
+def test_words_that_collide_are_different_words(frame):
+    """Two texts of 20 words each, alike but for the exchange of two letters in long words."""
+    bits = [bin(k).count("1") % 2 for k in range(4096)]
+    rows = []
+    for doc, letters in enumerate(("ab", "ba")):
+        words = ["".join(letters[b] for b in bits[: 1024 + 64 * k]) for k in range(20)]
+        rows.append((doc, " ".join(words)))
+    got = debruijn.word_digests(frame(rows)).collect()
+    assert by_id(got) == by_id(brute.words(rows)) and all(r["n_removed"] == 0 for r in got)

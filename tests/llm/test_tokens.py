@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tests.llm.conftest import by_id
-from weirflow.llm import bytepair, queries, token_codec, token_counts
+from weirflow.llm import bytepair, pretokens, queries, token_codec, token_counts
 from weirflow.llm.pretokens import Known
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,34 @@ def ragged(texts):
     return np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw], np.int64)
 
 
+def mirrored(one, other, size):
+    """A word of two letters and the same with the letters exchanged, in the order of Thue and Morse: polynomial hashes
+    modulo a power of two cannot tell them apart."""
+    bits = [bin(k).count("1") % 2 for k in range(size)]
+    return "".join((one, other)[b] for b in bits), "".join((other, one)[b] for b in bits)
+
+
+MIRRORED = [w for size in (1024, 2048, 4096) for pair in ("ab", "an", "on", "se") for w in mirrored(*pair, size)]
+
+
+def test_words_that_collide_keep_their_own_ids(library):
+    """In one chunk, in chunks one after the other, and with a memory that forgets."""
+    v, t = bytepair.load(PATH), token_codec.trie(PATH)
+    data, lengths = ragged(MIRRORED)
+    assert len(np.unique(pretokens.hashes(data, np.append(0, np.cumsum(lengths)[:-1]), lengths))) < len(MIRRORED)
+    want = [e.ids for e in library.encode_batch(MIRRORED, add_special_tokens=False)]
+    ids, _ = token_codec.encode_chunk(v, t, Known(), data, lengths)
+    assert ids.tolist() == [i for x in want for i in x]
+    assert token_counts.count_chunk(v, Known(), data, lengths).tolist() == [len(x) for x in want]
+    for limit in (2, 1 << 20):
+        known, counted = Known(limit), Known(limit)
+        for _ in range(2):
+            for text, x in zip(MIRRORED, want):
+                got, _ = token_codec.encode_chunk(v, t, known, *ragged([text, "ab"]))
+                assert got.tolist()[: len(x)] == x
+                assert token_counts.count_chunk(v, counted, *ragged([text]))[0] == len(x)
+
+
 def test_counts_equal_the_library(library, texts):
     want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
     assert token_counts.count_chunk(bytepair.load(PATH), Known(), *ragged(texts)).tolist() == want

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weirflow.llm import repeats
-from weirflow.llm.pretokens import hashes
+from weirflow.llm.pretokens import place_hashes
 from weirflow.llm.ragged import positions, starts_of
 from weirflow.llm.repeats import Kind, Shard
 from weirflow.llm.tables import table
@@ -54,14 +54,14 @@ def word_bounds(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nd
 def word_items(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin, size = word_bounds(raw, lengths)
     text = np.searchsorted(np.cumsum(lengths), begin, side="right")
-    return hashes(raw, begin, size), np.bincount(text, minlength=len(lengths))
+    return place_hashes(raw, begin, size), np.bincount(text, minlength=len(lengths))
 
 
 KIND = Kind(word_items, WINDOW, GRAM, within=True)
 
 
 def edge_hashes(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of every window, run after run."""
+    """Two hashes of every window, run after run, both from the 64-bit hashes of its words."""
     begin = starts_of(shard.windows + WINDOW - 1)
     at = positions(begin, shard.windows)
     first = repeats.sliding_hash(shard.data, WINDOW)[at]

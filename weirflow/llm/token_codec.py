@@ -165,7 +165,7 @@ def encode_chunk(
         which = example[fresh]
         return encode_words(v, t, words.data, words.starts[which], words.lengths[which])[:2]
 
-    begin, n = known.resolve(found, encoded)
+    begin, n = known.resolve(words, found, example, encoded)
     begin, n = begin[of], n[of]
     out = known.values[positions(begin, n)]
     per_text += np.bincount(words.text, weights=n, minlength=len(lengths)).astype(np.int64)

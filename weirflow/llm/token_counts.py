@@ -40,7 +40,7 @@ def count_chunk(v: bytepair.Vocabulary, known: Known, data: np.ndarray, lengths:
             _, n = bytepair.merge_all(v, words.data, words.starts[which], words.lengths[which])
             return n.astype(np.int32), np.ones(len(n), np.int64)
 
-        at, _ = known.resolve(found, counted)
+        at, _ = known.resolve(words, found, example, counted)
         total += np.bincount(words.text, weights=known.values[at][of], minlength=len(lengths)).astype(np.int64)
     return total
 
