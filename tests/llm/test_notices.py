@@ -5,9 +5,10 @@ import random
 
 import pytest
 
+from tests.compare import difference, sql_frame
 from tests.llm import brute
 from tests.llm.conftest import by_id
-from weirflow.llm import licences, notices
+from weirflow.llm import licences, notices, queries
 
 
 def contained(text, notice, threshold=0.8):
@@ -41,6 +42,7 @@ def labelled(df):
     return [(r["doc_id"], r["base_labels"], r["labels"], r["score"]) for r in notices.notices(df).collect()]
 
 
+BSD = "redistribution and use in source and binary forms with or without modification are permitted"
 WORDINGS = {
     "Licensed under the Apache License, Version 2.0.": "apache-2",
     "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3",
@@ -58,6 +60,9 @@ def test_every_wording_that_occurs(frame):
 WRAPPED = [
     ("Redistribution and use in source and binary forms, with or without\n# modification, are permitted", "bsd"),
     ("// Subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy", "mpl-2"),
+    ("Redistributions of source code must retain the above copyright\n notice, this list of conditions and the following disclaimer.", "bsd"),
+    ("Permission to use, copy, modify, and/or distribute this\nsoftware for any purpose with or without fee is hereby granted", "isc"),
+    ("licensed under the terms\nof the MIT license", "mit"),
     ("Permission is hereby granted, free of charge, to any\n * person obtaining a copy\n * of this software", "mit"),
 ]
 
@@ -68,9 +73,9 @@ def test_wrapped_notices(frame):
 
 
 def test_words_scattered_over_a_long_line_are_no_notice(frame):
-    words = licences.TEMPLATES["bsd"].split()
+    words = BSD.split()
     scattered = " ".join(w + " x" * 40 for w in words)
-    inside = "x " * 3000 + licences.TEMPLATES["bsd"] + " x" * 3000
+    inside = "x " * 3000 + BSD + " x" * 3000
     assert [r[2:] for r in sorted(labelled(frame([(1, scattered), (2, inside)])))] == [("", 0.0), ("bsd", 1.0)]
 
 
@@ -78,6 +83,10 @@ SIMILAR = {
     "This work is licensed under the GNU Lesser General Public License, version 3.": "gpl,lgpl",
     "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa-4",
     "Licensed under CC BY 4.0.": "cc-by",
+    "Licensed under CC BY-ND 4.0.": "cc-by",
+    "Licensed under the GNU Affero General Public License": "agpl,gpl",
+    "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
+    "Licensed under a Creative Commons Attribution 4.0 International License": "cc-by-4",
     "Licensed under the Eclipse Public License, version 2.0": "",
     "Subject to the terms of the Eclipse Public License v. 2.0": "",
     "This work is licensed under the GNU General Public License, version 2.": "gpl",
@@ -112,5 +121,23 @@ def test_chunks_do_not_matter(frame, monkeypatch, chunk):
     monkeypatch.setattr(licences, "CHUNK_BYTES", chunk)
     rows = [(i, "Released under the\nMIT License." if i % 3 else "Released under the") for i in range(30)]
     batches = [r for r in frame(rows).select("doc_id", "text").toArrow().to_batches()]
-    got = [r["labels"] for b in notices._scanner(notices.NOTICES, 0.8)(iter(batches)) for r in b.to_pylist()]
+    got = [r["labels"] for b in notices._scanner(notices.NOTICES, {}, 0.8)(iter(batches)) for r in b.to_pylist()]
     assert got == ["mit" if i % 3 else "" for i in range(30)]
+
+
+def test_query_equals_sql(spark, sf_dir):
+    got = queries.queries()["op9_licences"](spark, sf_dir).toPandas()
+    assert difference(got, sql_frame(sf_dir, queries.statements()["op9_licences"])) is None
+    assert got["labels"].map(lambda v: "mit" in v).any()
+
+
+def test_prefixes_follow_the_corpus():
+    notice = notices.Notice("x", "a b c d e")
+    assert notices.prefix(notice, {"a": 9, "b": 1, "c": 5, "d": 2, "e": 7}, 0.8) == ["b", "d"]
+    assert notices.prefix(notice._replace(telling=("c",)), {"a": 9, "b": 3, "c": 5, "d": 3, "e": 7}, 0.8) == ["c"]
+
+
+def test_empty_table_and_nulls(spark, frame):
+    assert notices.notices(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    got = {r["doc_id"]: tuple(r)[1:] for r in notices.notices(frame([(2, None), (None, ""), (3, "cc by" * 3000)])).collect()}
+    assert got[2] == got[None] == (0, 0, None, None, "", "", 0.0) and got[3][0] == 3001

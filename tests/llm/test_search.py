@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.compare import difference, sql_frame
 from tests.llm import brute
 from tests.llm.conftest import by_id
-from weirflow.llm import decontamination, licences, neighbours, private_spans, quality, queries
+from weirflow.llm import decontamination, neighbours, private_spans, quality, queries
 
 # --- nearest neighbours --------------------------------------------------------------------------
 
@@ -55,25 +55,6 @@ def test_equal_vectors_tie_to_the_smaller_id(spark):
     assert [r["vec_id"] for r in got] == [*range(1, 21), *range(20)]
 
 
-# --- licences ------------------------------------------------------------------------------------
-
-
-def test_licences_equal_sql(spark, sf_dir):
-    got = queries.queries()["op9_licences"](spark, sf_dir).toPandas()
-    assert difference(got, sql_frame(sf_dir, licences.SQL)) is None
-
-
-def test_licence_edges(spark, frame, mixed):
-    notice = "All rights reserved. cc  BY cc-by\nThis work: licensed under the GNU General-Public License, version 3.\nCC\nBY"
-    got = {r["doc_id"]: r for r in licences.licences(frame([(1, notice), (2, None), (3, "cc by" * 3000)])).collect()}
-    assert (got[1]["n_base"], got[1]["first_word"], got[1]["last_word"]) == (5, 0, 18)
-    assert got[1]["base_labels"] == "cc-by,gpl,reserved" and "gpl-3" in got[1]["labels"] and got[1]["score"] == 1.0
-    assert tuple(got[2])[1:] == (0, 0, None, None, "", "", 0.0) and got[3]["n_base"] == 0
-    plain = licences.licences(frame(mixed)).collect()
-    assert by_id((r["doc_id"], r["n_words"]) for r in plain) == by_id((i, len(brute.plain_words(t))) for i, t in mixed)
-    assert licences.licences(spark.createDataFrame([], "doc_id long, text string")).count() == 0
-
-
 # --- privacy -------------------------------------------------------------------------------------
 
 SCRAPS = [

@@ -1,19 +1,4 @@
-"""Licence scans: phrases, and an exact set-similarity join of text blocks with notice templates.
-
-A block is a line of a text, as its set of words. A template is contained in a block if the block has
-at least ``threshold`` of the template's distinct words. Words are ordered by how many
-blocks of the corpus hold them, rarest first, so that a block that reaches the threshold must
-hold a word of the template's short prefix (prefix filter). A block with fewer words than needed is skipped
-(length filter), and so is one whose first shared word comes so late in the template's order that too few
-can follow (positional filter). What passes is counted exactly.
-
-Two maps over the texts and one small aggregate: the first counts blocks per template word (at most as
-many rows as the templates have words), the second emits each text's phrases and the blocks that share a prefix word;
-filters and counts are DataFrame expressions. Nothing else is shuffled. The templates are a fixed list.
-
-Null and empty texts: no words, no labels, score 0. Null ``doc_id``: the row stays, its id null. Repeated
-rows: one result row each. Columns besides id and text are not read.
-"""
+"""Words, phrases and the global word order of the licence scan (see ``notices``)."""
 
 from __future__ import annotations
 
@@ -21,33 +6,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.llm import ragged
 from weirflow.llm.bytepair import hash_table, look_up
 from weirflow.llm.pretokens import hashes
 from weirflow.llm.ragged import starts_of
-from weirflow.llm.tables import table
 
 CHUNK_BYTES = 4 << 20
 THRESHOLD = 0.8
 
 #: Phrases of the contract and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Notices by label, own short wordings of what such notices say.
-TEMPLATES = {
-    "apache-2": "licensed under the apache license version 2 0",
-    "gpl-3": "this work is licensed under the gnu general public license version 3",
-    "lgpl": "licensed under the gnu lesser general public license",
-    "cc-by-nc-4": "licensed under cc by nc 4 0",
-    "cc-by-sa-4": "licensed under cc by sa 4 0",
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
-    "mpl-2": "subject to the terms of the mozilla public license v 2 0",
-    "public-domain": "released into the public domain",
-}
-
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _IS_WORD = np.array([b >= 0x80 or chr(b).isdigit() or chr(b).islower() for b in range(256)])
 
@@ -58,7 +29,7 @@ def _keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarr
 
 
 class Words:
-    """Words of a chunk of texts: place of each, its text and its block."""
+    """Words of a chunk of texts: place of each and its text."""
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray):
         self.data = np.frombuffer(data.tobytes().translate(_FOLD), np.uint8)
@@ -73,8 +44,6 @@ class Words:
         self.starts = np.flatnonzero(begins)
         self.lengths = np.flatnonzero(stops) + 1 - self.starts
         self.text = np.searchsorted(ends, self.starts, side="right")
-        breaks = border[:-1] | (np.append(0, self.data[:-1]) == 0x0A)
-        self.block = np.cumsum(breaks)[self.starts] if len(data) else self.starts
         self.hashes = _keys(self.data, self.starts, self.lengths)
         self.per_text = np.bincount(self.text, minlength=len(lengths))
         #: Number of a word within its text.
@@ -87,10 +56,6 @@ def _word_hashes(words: list[str]) -> np.ndarray:
     return _keys(np.frombuffer(b"".join(raw), np.uint8), starts_of(lengths), lengths)
 
 
-def template_words(templates: dict[str, str]) -> list[str]:
-    return sorted({w for text in templates.values() for w in text.split()})
-
-
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
     for batch in batches:
         flat, starts, lengths = ragged.utf8_column(batch, "text")
@@ -98,170 +63,24 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield batch.slice(a, b - a), Words(flat[starts[a] : starts[b - 1] + lengths[b - 1]], lengths[a:b])
 
 
-def _in_blocks(words: Words, lookup: tuple[np.ndarray, np.ndarray], size: int) -> np.ndarray:
-    """Distinct (block, word number) pairs as ``block * size + number``, sorted."""
-    known = look_up(lookup, words.hashes)
-    return np.unique(words.block[known >= 0].astype(np.int64) * size + known[known >= 0])
-
-
-def _block_counter(vocabulary: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _word_counter(vocabulary: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, total = hash_table(_word_hashes(vocabulary)), np.zeros(len(vocabulary), np.int64)
         for _, words in _chunks(batches):
-            total += np.bincount(_in_blocks(words, lookup, len(vocabulary)) % len(vocabulary), minlength=len(vocabulary))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(vocabulary))), pa.array(total)], ["word", "n_blocks"])
+            known = look_up(lookup, words.hashes)
+            total += np.bincount(known[known >= 0], minlength=len(vocabulary))
+        yield pa.RecordBatch.from_arrays([pa.array(vocabulary), pa.array(total)], ["word", "n"])
 
     return run
 
 
-def word_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
-    """The templates' words, those in the fewest blocks of the corpus first."""
-    counted = docs.select("text").mapInArrow(_block_counter(vocabulary), "word long, n_blocks long")
-    counts = {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n_blocks").alias("n")).collect()}
-    return sorted(vocabulary, key=lambda w: (counts.get(vocabulary.index(w), 0), w))
+def word_counts(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """How often each word of a fixed vocabulary stands in the corpus; as many numbers as it has words."""
+    counted = docs.select(F.lit(None).alias("doc_id"), "text").mapInArrow(_word_counter(vocabulary), "word string, n long")
+    return {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-def needed(template: str, threshold: float) -> int:
-    """Distinct words of the template a block must have."""
-    size = len(set(template.split()))
+def needed(wording: str, threshold: float) -> int:
+    """Distinct words of the wording a block must have."""
+    size = len(set(wording.split()))
     return max(1, int(np.ceil(threshold * size - 1e-9)))
-
-
-def prefix(template: str, order: list[str], threshold: float) -> list[int]:
-    """Places, in the global order, of the words of which any matching block has one."""
-    places = sorted(order.index(w) for w in set(template.split()))
-    return places[: len(places) - needed(template, threshold) + 1]
-
-
-def _scanner(order: list[str], prefixes: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    phrases = [phrase.split() for phrase in PHRASES]
-
-    def places(words: Words, phrase: list[str]) -> np.ndarray:
-        """Index of the first word of every place of a phrase."""
-        want = _word_hashes(phrase)
-        at = np.flatnonzero(words.hashes == want[0])
-        for k in range(1, len(want)):
-            at = at[at + k < len(words.hashes)]
-            at = at[(words.hashes[at + k] == want[k]) & (words.text[at + k] == words.text[at])]
-        return at
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, size = hash_table(_word_hashes(order)), len(order)
-        rare = np.zeros(size, bool)
-        rare[prefixes] = True
-        for rows, words in _chunks(batches):
-            n = len(rows)
-            n_base, first, last = np.zeros(n, np.int64), np.full(n, 2**62), np.full(n, -1)
-            labels: list[list[str]] = [[] for _ in range(n)]
-            for phrase, label in zip(phrases, PHRASES.values(), strict=True):
-                at = places(words, phrase)
-                n_base += np.bincount(words.text[at], minlength=n)
-                np.minimum.at(first, words.text[at], words.number[at])
-                np.maximum.at(last, words.text[at], words.number[at])
-                for text in np.unique(words.text[at]):
-                    labels[text].append(label)
-            pairs = _in_blocks(words, lookup, size)
-            block, word = pairs // size, pairs % size
-            candidates = np.unique(block[rare[word]])
-            blocks: list[list[dict]] = [[] for _ in range(n)]
-            if len(candidates):
-                begin, end = np.searchsorted(block, candidates), np.searchsorted(block, candidates, side="right")
-                first_word = np.searchsorted(words.block, candidates)
-                after_word = np.searchsorted(words.block, candidates, side="right")
-                for b, e, f, a in zip(begin, end, first_word, after_word, strict=True):
-                    found = {"n_words": len(np.unique(words.hashes[f:a])), "shared": word[b:e].tolist()}
-                    blocks[words.text[f]].append(found)
-            has = n_base > 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column(0), pa.array(words.per_text.astype(np.int64)), pa.array(n_base),
-                    pa.array(first, mask=~has), pa.array(last, mask=~has),
-                    pa.array(labels, pa.list_(pa.string())),
-                    pa.array(blocks, pa.list_(pa.struct([("n_words", pa.int32()), ("shared", pa.list_(pa.int32()))]))),
-                ],
-                names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base", "blocks"],
-            )
-
-    return run
-
-
-_SCANNED = (
-    "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
-    "blocks array<struct<n_words:int,shared:array<int>>>"
-)
-
-
-def _containment(template: str, order: list[str], threshold: float) -> Column:
-    """Largest share of the template's words in a block that reaches the threshold, else 0."""
-    places = sorted(order.index(w) for w in set(template.split()))
-    need, size = needed(template, threshold), len(places)
-    own = F.array(*(F.lit(p) for p in places))
-
-    def share(block: Column) -> Column:
-        shared = F.array_intersect(own, block["shared"])  # keeps the order of the template's places
-        # Position of the first shared word: so many of the template's words are certainly missing.
-        skipped = F.array_position(own, F.element_at(shared, 1)) - 1
-        passes = (block["n_words"] >= need) & (F.size(shared) > 0)
-        return F.when(passes, F.when((size - skipped >= need) & (F.size(shared) >= need), F.size(shared) / size)).otherwise(0.0)
-
-    return F.coalesce(F.array_max(F.transform("blocks", share)), F.lit(0.0))
-
-
-def licences(
-    docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
-    id_column: str = "doc_id", text_column: str = "text",
-) -> DataFrame:
-    """Per row: words, phrase places, labels of the phrases, labels of phrases and templates, and the best score."""
-    templates = templates or TEMPLATES
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    order = word_order(narrow, template_words(templates))
-    prefixes = sorted({p for t in templates.values() for p in prefix(t, order, threshold)})
-    scanned = narrow.mapInArrow(_scanner(order, prefixes), _SCANNED)
-    shares = scanned.withColumns({f"t{k}": _containment(t, order, threshold) for k, t in enumerate(templates.values())})
-    found = F.array_compact(F.array(*(F.when(F.col(f"t{k}") > 0, F.lit(name)) for k, name in enumerate(templates))))
-    score = F.greatest(*(F.col(f"t{k}") for k in range(len(templates))), F.when(F.col("n_base") > 0, 1.0).otherwise(0.0))
-    return shares.select(
-        "doc_id", "n_words", "n_base", "first_word", "last_word",
-        F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("base", found)), ",").alias("labels"),
-        score.cast("double").alias("score"),
-    )
-
-
-def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences(table(spark, sf_dir, "documents"))
-
-
-def _sql() -> str:
-    templates = " UNION ALL ".join(
-        f"SELECT '{name}' AS label, string_split('{text}', ' ') AS tw, {needed(text, THRESHOLD)} AS need"
-        for name, text in TEMPLATES.items()
-    )
-    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    conditions = " OR ".join(
-        "(" + " AND ".join(f"w[i + {k}] = '{part}'" for k, part in enumerate(phrase.split())) + ")" for phrase in PHRASES
-    )
-    labels = " ".join(
-        "WHEN " + " AND ".join(f"w[i + {k}] = '{part}'" for k, part in enumerate(phrase.split())) + f" THEN '{label}'"
-        for phrase, label in PHRASES.items()
-    )
-    return f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
-x AS (SELECT r, doc_id, t, regexp_extract_all(t, {word}) AS w FROM d),
-p AS (SELECT r, i - 1 AS place, CASE {labels} END AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM x) WHERE {conditions}),
-b AS (SELECT r, count(*) AS n, min(place) AS f, max(place) AS l, list(DISTINCT label) AS labels FROM p GROUP BY r),
-k AS (SELECT r, list_distinct(regexp_extract_all(line, {word})) AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM x)),
-m AS (SELECT label, list_distinct(tw) AS words, need FROM ({templates})),
-h AS (SELECT r, label, max(len(list_intersect(k.words, m.words)) / len(m.words)) AS share FROM k, m
-      WHERE len(list_intersect(k.words, m.words)) >= need GROUP BY r, label),
-g AS (SELECT r, list(label) AS labels, max(share) AS share FROM h GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(f AS BIGINT) AS first_word,
-CAST(l AS BIGINT) AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
-coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, g.labels))), ','), '') AS labels,
-CAST(greatest(CASE WHEN n > 0 THEN 1 ELSE 0 END, coalesce(share, 0)) AS DOUBLE) AS score
-FROM x LEFT JOIN b USING (r) LEFT JOIN g USING (r)
-"""
-
-
-SQL = _sql()

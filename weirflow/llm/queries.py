@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirflow.llm import licences, manifest, shingle_join
+from weirflow.llm import manifest, notices, shingle_join
 from weirflow.llm.debruijn import op10_debruijn
 from weirflow.llm.decontamination import op1_leaks
-from weirflow.llm.licences import op9_licences
 from weirflow.llm.manifest import op13_manifest
 from weirflow.llm.neighbours import op5_neighbours
-from weirflow.llm.notices import op9_notices
+from weirflow.llm.notices import op9_licences
 from weirflow.llm.private_spans import op8_private_spans
 from weirflow.llm.quality import op4_quality
 from weirflow.llm.shingle_join import op12_jaccard
@@ -28,10 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     every = (
         op1_leaks, op2_token_counts, op3_substrings, op4_quality, op5_neighbours, op6_token_codec, op7_simhash, op8_private_spans,
-        op9_licences, op9_notices, op10_debruijn, op11_turns, op12_jaccard, op13_manifest,
+        op9_licences, op10_debruijn, op11_turns, op12_jaccard, op13_manifest,
     )
     return {query.__name__: query for query in every}
 
 
 def statements() -> dict[str, str]:
-    return {"op9_licences": licences.SQL, "op12_jaccard": shingle_join.SQL, "op13_manifest": manifest.SQL}
+    return {"op9_licences": notices.SQL, "op12_jaccard": shingle_join.SQL, "op13_manifest": manifest.SQL}
