@@ -15,8 +15,8 @@ against list entries written and met by the large, summed per size over the tabl
 Members of a list are compared by size and by a parity sketch, whose differing bits are a lower bound of the differing elements, so
 neither test loses a link. A large list is dealt out over pairs of blocks. In each round a set proposes its nearest
 few of other components; what is proposed is verified on the shingles themselves, read from the texts, and components grow. The
-few become more, for those sets that had more to propose, until none has, so a large group of near copies costs about as many verifications as it has
-members, and no link between components is lost.
+few become more, among those sets that had more to propose, until none has, so a large group of near copies costs about as
+many verifications as it has members, and no link between components is lost.
 
 Defined results: a null text is empty; an empty set links with nothing, its component is its own id. A null ``doc_id`` is never a component id unless
 all ids of the component are null. Repeated rows have a result row each. Columns other than ``doc_id`` and ``text`` are not read.
@@ -99,11 +99,12 @@ def _count_map(buckets: int, slices: int, batches: Iterator[pa.RecordBatch]) ->
             np.add.at(counts, _bucket(hashes(shingles(text)), buckets), np.uint32(1))
     parts = counts.reshape(slices, -1)
     used = np.flatnonzero(parts.any(axis=1))
-    packed = [zlib.compress(parts[k].tobytes(), 1) for k in used]
+    # Counts of a task are small; a slice of larger ones is four times as long.
+    packed = [zlib.compress((p.astype(np.uint8) if p.max() < 256 else p).tobytes(), 1) for p in parts[used]]
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())], ["slice", "counts"])
 
 
-def _level_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _level_map(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums the counters of each slice, rows sorted by slice, and keeps their logarithm."""
     here, total = None, None
 
@@ -113,7 +114,8 @@ def _level_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts = np.frombuffer(zlib.decompress(packed), np.uint32).astype(np.float64)
+            raw = zlib.decompress(packed)
+            counts = np.frombuffer(raw, np.uint8 if len(raw) == size else np.uint32).astype(np.float64)
             if part == here:
                 total += counts
                 continue
@@ -129,7 +131,9 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
     wanted = min(max(BUCKETS_PER_DOCUMENT * docs.count(), FEWEST_BUCKETS), MOST_BUCKETS)
     buckets = 1 << (wanted - 1).bit_length()
     counted = docs.select("text").mapInArrow(partial(_count_map, buckets, SLICES), "slice int, counts binary")
-    summed = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(_level_map, "slice int, levels binary")
+    summed = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(
+        partial(_level_map, buckets // SLICES), "slice int, levels binary"
+    )
     out = np.zeros((SLICES, buckets // SLICES), np.uint8)
     for row in summed.collect():  # SLICES rows at most
         out[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
@@ -254,7 +258,6 @@ class _Members:
 
     def __init__(self, rows: pa.Table):
         self.ids, self.roots, self.n = (rows.column(c).to_numpy() for c in ("set_id", "root", "n"))
-        self.open = rows.column("open").to_numpy(zero_copy_only=False)
         sketch = b"".join(rows.column("sketch").to_pylist())
         self.sketch = np.frombuffer(sketch, np.uint64).reshape(-1, SKETCH_BITS // 64)
 
@@ -269,11 +272,10 @@ class _Members:
 
 
 def _nearest(members: _Members, start: int, size: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For every open member of one long list the ``limit`` nearest others, in slabs of rows."""
+    """For every member of one long list the ``limit`` nearest others, in slabs of rows."""
     every = np.arange(start, start + size)
-    proposers = every[members.open[start : start + size]]
-    for a in range(0, len(proposers), 256):
-        rows = proposers[a : a + 256]
+    for a in range(0, size, 256):
+        rows = every[a : a + 256]
         good, bits = members.may_link(rows[:, None], every[None, :])
         far = np.where(good, bits, SKETCH_BITS + 1)
         if limit < size:
@@ -301,8 +303,7 @@ def _propose_map(limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         one, other = np.repeat(at, after), positions(at + 1, after)
         good, bits = m.may_link(one, other)
         one, other, bits = one[good], other[good], bits[good]
-        a, b = m.open[one], m.open[other]
-        yield packed(m, np.concatenate([one[a], other[b]]), np.concatenate([other[a], one[b]]), np.concatenate([bits[a], bits[b]]))
+        yield packed(m, np.concatenate([one, other]), np.concatenate([other, one]), np.concatenate([bits, bits]))
         for start, size in zip(starts[~short].tolist(), sizes[~short].tolist(), strict=True):
             for found in _nearest(m, start, size, limit):
                 yield packed(m, *found)
@@ -344,7 +345,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _proposed(members: DataFrame, limit: int) -> DataFrame:
-    """``member, other, place``: the nearest sets of other components, nearest first, of each set that is open."""
+    """``member, other, place``: the nearest sets of other components, nearest first, of each set."""
     counted = members.groupBy("key").agg(F.count("*").alias("length")).filter(F.col("length") > BLOCK)
     long_lists = _stored(counted, "long")
     blocks = F.ceil(F.coalesce("length", F.lit(1)) / BLOCK).cast("int")
@@ -354,21 +355,23 @@ def _proposed(members: DataFrame, limit: int) -> DataFrame:
     )
     low, high = F.least("own", "mate").alias("low"), F.greatest("own", "mate").alias("high")
     group = ["key", "low", "high"]
-    rows = dealt.select("key", low, high, "set_id", "root", "open", "n", "sketch")
+    rows = dealt.select("key", low, high, "set_id", "root", "n", "sketch")
     in_order = rows.repartition(*group).sortWithinPartitions(*group)
     found = in_order.mapInArrow(partial(_propose_map, limit + 1), "member long, other long, bits int").distinct()
     nearest = W.partitionBy("member").orderBy("bits", "other")
     return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= limit + 1)
 
 
-def _still_open(members: DataFrame, roots: DataFrame, last: DataFrame) -> DataFrame:
-    """The members of lists with the components found so far, and whether they have more to propose."""
-    more = last.groupBy(F.col("member").alias("set_id")).agg(F.lit(True).alias("_open"))
+def _still_open(lists: DataFrame, roots: DataFrame, last: DataFrame) -> DataFrame:
+    """The entries of sets with more to propose, with the components found so far.
+
+    Of two sets that were not compared yet, either had more to propose; so it is enough that these meet.
+    """
+    more = last.select(F.col("member").alias("set_id")).distinct()
     of = roots.select(F.col("node").alias("set_id"), F.col("root").alias("_root"))
-    marked = members.select("key", "set_id", "n", "sketch").join(of, "set_id", "left").join(more, "set_id", "left").select(
-        "key", "set_id", "n", "sketch", F.coalesce("_root", "set_id").alias("root"), F.coalesce("_open", F.lit(False)).alias("open")
+    return lists.join(more, "set_id").join(of, "set_id", "left").select(
+        "key", "set_id", "n", "sketch", F.coalesce("_root", "set_id").alias("root")
     )
-    return marked
 
 
 def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -392,7 +395,8 @@ def _texts_of(chosen: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """``set_id, text`` of the chosen sets, from the documents."""
     known = _stored(chosen.join(sets.select("set_id", "sig", "first"), "set_id"), "chosen")
     wanted = _wanted(docs, known)
-    texts = wanted.join(known, wanted["doc_id"].eqNullSafe(known["first"])).select("set_id", "sig", "text").mapInArrow(_text_map, "set_id long, text string")
+    # The same way at every size, also where the ids would fit into every task.
+    texts = wanted.join(known.hint("merge"), wanted["doc_id"].eqNullSafe(known["first"])).select("set_id", "sig", "text").mapInArrow(_text_map, "set_id long, text string")
     return _stored(texts.groupBy("set_id").agg(F.first("text").alias("text")), "texts")
 
 
@@ -410,16 +414,14 @@ def set_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     postings = sets.select("set_id", "n", "prefix").mapInArrow(partial(_key_map, b), "key long, set_id long")
     shared = postings.repartition("key").sortWithinPartitions("key", "set_id").mapInArrow(_shared_map, "key long, set_id long")
     lists = _stored(shared.join(sets.select("set_id", "n", "sketch"), "set_id"), "lists")
-    members = lists.withColumn("root", F.col("set_id")).withColumn("open", F.lit(True))
+    members = lists.withColumn("root", F.col("set_id"))
     texts = links = tried = None
     limit = PROPOSALS
     while True:
         proposed = _stored(_proposed(members, limit), "proposals")
         if texts is None:
             # A set that nothing may link with proposes nothing now and is never proposed later.
-            chosen = proposed.select(F.col("member").alias("set_id")).distinct()
-            texts = _texts_of(chosen, sets, docs)
-            lists = _stored(lists.join(texts.select("set_id"), "set_id", "left_semi"), "lists")
+            texts = _texts_of(proposed.select(F.col("member").alias("set_id")).distinct(), sets, docs)
         pair = [F.least("member", "other").alias("a"), F.greatest("member", "other").alias("b")]
         pairs = proposed.filter(F.col("place") <= limit).select(*pair).distinct()
         fresh = _stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
