@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -119,6 +121,12 @@ def _newest_batch(spark: SparkSession, root: str, run: str) -> int | None:
         return None
 
 
+def _at_once(spark: SparkSession, *writes: Callable[[], tuple[DataFrame, int]]) -> list[tuple[DataFrame, int]]:
+    """Tables of a batch that do not need each other are written side by side."""
+    with ThreadPoolExecutor(len(writes)) as threads:
+        return [t.result() for t in [threads.submit(inheritable_thread_target(spark)(w)) for w in writes]]
+
+
 def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: executors write, a repeated batch replaces itself, no batch replaces another's.
 
@@ -143,22 +151,25 @@ def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[Da
                 rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*by).parquet(path)
                 return spark.read.schema(rows.schema).parquet(path), seen.get["n"]
 
-            _, received = put(bronze_columns(messages), "bronze")
             scorer = model(spark) if callable(model) else model
-            silver, classified = put(flagged_messages(messages, scorer).select(
+            stamped = flagged_messages(messages, scorer).select(
                 "*", F.to_date(EVENT_TIME).alias("date"), F.current_timestamp().alias("ingested_at")
-            ), "silver", "date")
-            # What follows is read from the batch just written: columnar, nothing is parsed twice.
-            put(gold(silver), "gold")
-            put(rollups.partials(silver, EVENT_TIME), ROLLUPS)
+            )
+            (_, received), (silver, classified), (_, refused) = _at_once(
+                spark, lambda: put(bronze_columns(messages), "bronze"), lambda: put(stamped, "silver", "date"),
+                lambda: put(rejected(messages), "rejects"),
+            )
             if "versions" not in done:  # once per start
                 done["versions"] = [_newest_batch(spark, root, run)]
             before = done["versions"][-1]
             values = latest.values_of(silver, EVENT_TIME, SOURCE_KEY)
             if before is not None:
                 values = latest.merged(values.union(spark.read.schema(values.schema).parquet(layer(root, LATEST, run, before))))
-            put(values, LATEST)
-            _, refused = put(rejected(messages), "rejects")
+            # These read the batch just written: columnar, nothing is parsed twice.
+            _at_once(
+                spark, lambda: put(gold(silver), "gold"), lambda: put(rollups.partials(silver, EVENT_TIME), ROLLUPS),
+                lambda: put(values, LATEST),
+            )
             put(spark.createDataFrame([(received, classified, refused)], _COUNTS).coalesce(1), COMMITS)
             done["versions"].append(batch_id)
             for old in done["versions"][:-2]:
