@@ -6,9 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import difference, sql_frame
 from tests.llm import brute
-from tests.llm.conftest import by_id
 from weirflow.llm import decontamination, neighbours, private_spans, quality, queries
 
 # --- nearest neighbours --------------------------------------------------------------------------
