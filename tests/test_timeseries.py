@@ -160,3 +160,18 @@ def test_nan_is_not_present(spark):
     assert [(r["field"], r["n"]) for r in TS.field_presence(df, ["L_T1", "ATT_FLAG", "none"]).collect()] == [
         ("L_T1", 0), ("ATT_FLAG", 1), ("none", 0)
     ]
+
+
+def test_latest_values_do_not_send_a_tag_to_one_task(spark):
+    """Whatever size Spark expects of the latest times, the records stay where they are."""
+    df = flagged(spark, (0, {}), (5, {"L_T6": 3.5}), (5, {"L_T6": 3.25}), (9, {"L_T1": 3.5})).localCheckpoint()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (TS.last(df), TS.pivot_latest(df, ["L_T6", "L_T1"])):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        got = {(r["alert_type"], r["value"]) for r in TS.last(df, ["L_T6"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {("NORMAL", 3.25), ("PU1_STUCK_OFF", 3.0)}
