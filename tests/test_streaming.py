@@ -10,7 +10,7 @@ from weirflow.operators import classify as C
 from weirflow.plans import catalog
 from weirflow.session import scratch_path
 from weirflow.sources import streams
-from weirflow.streaming import pipeline, rollups, silences, windows
+from weirflow.streaming import latest, pipeline, rollups, silences, windows
 
 
 @pytest.fixture(scope="module")
@@ -322,3 +322,16 @@ def test_topic_settings_come_from_the_environment(monkeypatch):
 def test_spread_over_more_tasks(spark, message_path):
     few = streams.replay_text_messages(spark, message_path).coalesce(1)
     assert streams.spread(few, 6).rdd.getNumPartitions() == 6
+
+
+def test_latest_values_of_a_batch_stay_with_their_records(spark, message_path):
+    """A batch of any size does not go to the tasks of its alert types."""
+    silver = pipeline.replay(streams.replay_text_messages(spark, message_path))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        values = latest.values_of(silver, pipeline.EVENT_TIME, pipeline.SOURCE_KEY)
+        plan = values._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
