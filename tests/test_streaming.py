@@ -335,3 +335,19 @@ def test_latest_values_of_a_batch_stay_with_their_records(spark, message_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def messages_by_file(spark, path):
+    return {r["file"]: r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).count().collect()}
+
+
+def test_a_larger_table_has_more_files_of_messages_and_as_many_batches(spark, sf_dir, monkeypatch):
+    few = messages_by_file(spark, catalog.keyed_messages(spark, sf_dir))
+    assert len(few) == catalog.MESSAGE_FILES
+    monkeypatch.setattr(catalog, "MESSAGES_PER_FILE", 50, raising=False)
+    many = messages_by_file(spark, catalog.keyed_messages(spark, sf_dir))
+    assert sum(many.values()) == sum(few.values()) == 1_000 and len(many) == 20 and max(many.values()) < 100
+    root = scratch_path(spark, "tables")
+    catalog.stream_keyed(spark, sf_dir, root)
+    batches = [r["messages"] for r in pipeline.progress(spark, root).collect()]
+    assert len(batches) == 3 and sum(batches) == 1_000
