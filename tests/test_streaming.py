@@ -351,3 +351,15 @@ def test_a_larger_table_has_more_files_of_messages_and_as_many_batches(spark, sf
     catalog.stream_keyed(spark, sf_dir, root)
     batches = [r["messages"] for r in pipeline.progress(spark, root).collect()]
     assert len(batches) == 3 and sum(batches) == 1_000
+
+
+def test_a_larger_table_sent_twice_is_read_in_as_many_batches(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(catalog, "MESSAGES_PER_FILE", 50, raising=False)
+    path = catalog.keyed_messages(spark, sf_dir, copies=2)
+    sent = messages_by_file(spark, path)
+    assert sum(sent.values()) == 2_000 and len(sent) == 40 and max(sent.values()) < 100
+    root = scratch_path(spark, "tables")
+    catalog.stream_keyed(spark, sf_dir, root, copies=2, replays_within=catalog.REPLAY_MEMORY)
+    kept = pipeline.progress(spark, root).collect()
+    cut = 8  # messages without a readable time are kept both times
+    assert len(kept) == 6 and sum(r["messages"] for r in kept) == 1_000 + cut
