@@ -1,4 +1,6 @@
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from weirflow.operators import learning as L
 from weirflow.operators import scenarios as S
@@ -134,3 +136,13 @@ def test_the_training_job_reports_saves_and_scores(spark, mix):
     scored = L.predict(mix.withColumn("alert_type", mix["scenario"]), L.load(spark, path, 1))
     table = L.rule_versus_model(scored).collect()
     assert sum(r["n"] for r in table) == mix.count() and {r["ml_alert"] for r in table} <= {0, 1}
+
+
+def test_a_model_fitted_after_rows_were_observed_scores(spark):
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = spark.range(40).selectExpr(*(f"cast(id % 2 as float) as {f}" for f in FEATURES), f"cast(id % 2 as int) as {LABEL}")
+    model = L.train(rows, trees=2, depth=2)
+    assert not model.stages[-1].hasSummary
+    assert rows.count() == L.predict(rows, model).filter(f"{L.ALERT} = {LABEL}").count()
