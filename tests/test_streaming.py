@@ -363,3 +363,21 @@ def test_a_larger_table_sent_twice_is_read_in_as_many_batches(spark, sf_dir, mon
     kept = pipeline.progress(spark, root).collect()
     cut = 8  # messages without a readable time are kept both times
     assert len(kept) == 6 and sum(r["messages"] for r in kept) == 1_000 + cut
+
+
+def test_small_pieces_of_a_batch_are_written_together(spark, monkeypatch):
+    """Pieces of a state store do not leave a file each per date; a large batch still has as many tasks as it needs."""
+    pieces = messages(spark, *[(day, hour, 4.5) for day in (3, 4) for hour in range(24)] * 10).repartition(60)
+
+    def files_per_date():
+        root = scratch_path(spark, "tables")
+        pipeline.table_writer(root, "run-a")(pieces, 0)
+        assert pipeline.published(spark, root).first()["flagged"] == pipeline.read_layer(spark, root, "silver").count() == 480
+        found = Path(pipeline.layer(root, "silver", "run-a", 0)).glob("date=*")
+        return [len(list(date.glob("*.parquet"))) for date in found]
+
+    few = files_per_date()
+    assert len(few) == 2 and max(few) <= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(pipeline, "MESSAGES_PER_TASK", 16)  # 30 tasks
+    many = files_per_date()
+    assert len(many) == 2 and max(few) < min(many) <= max(many) <= 30

@@ -26,6 +26,8 @@ EVENT_TIME = "event_time"
 SOURCE_KEY = "source_key"
 COMMITS, LATEST, ROLLUPS = "commits", "latest", "rollups"
 _COUNTS = "messages long, flagged long, rejected long"
+#: Messages of one writing task at most, on average, where a batch comes in more and smaller pieces, such as those of a state store.
+MESSAGES_PER_TASK = 100_000
 #: A model, what finds one when a batch begins, or none.
 ModelSource = PipelineModel | Callable[[SparkSession], PipelineModel | None] | None
 
@@ -127,6 +129,11 @@ def _at_once(spark: SparkSession, *writes: Callable[[], tuple[DataFrame, int]])
         return [t.result() for t in [threads.submit(inheritable_thread_target(spark)(w)) for w in writes]]
 
 
+def _writing_tasks(spark: SparkSession, messages: int) -> int:
+    """Tasks that write a batch. Each leaves a file per date, so pieces of a state store are too small to be written one by one."""
+    return max(spark.sparkContext.defaultParallelism, -(-messages // MESSAGES_PER_TASK))
+
+
 def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: executors write, a repeated batch replaces itself, no batch replaces another's.
 
@@ -141,10 +148,13 @@ def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[Da
         spark = batch.sparkSession
         if _is_published(spark, root, run, batch_id):
             return
-        messages = batch.persist()
+        kept = batch.persist()
         try:
-            if messages.isEmpty():
+            number = kept.count()
+            if not number:
                 return
+            tasks = _writing_tasks(spark, number)
+            messages = kept.coalesce(tasks)
 
             def put(rows: DataFrame, name: str, *by: str) -> tuple[DataFrame, int]:
                 path, seen = layer(root, name, run, batch_id), Observation(name)
@@ -166,9 +176,10 @@ def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[Da
             if before is not None:
                 values = latest.merged(values.union(spark.read.schema(values.schema).parquet(layer(root, LATEST, run, before))))
             # These read the batch just written: columnar, nothing is parsed twice.
+            parts = rollups.partials(silver, EVENT_TIME)
             _at_once(
-                spark, lambda: put(gold(silver), "gold"), lambda: put(rollups.partials(silver, EVENT_TIME), ROLLUPS),
-                lambda: put(values, LATEST),
+                spark, lambda: put(gold(silver), "gold"), lambda: put(parts.coalesce(tasks), ROLLUPS),
+                lambda: put(values.coalesce(tasks), LATEST),
             )
             put(spark.createDataFrame([(received, classified, refused)], _COUNTS).coalesce(1), COMMITS)
             done["versions"].append(batch_id)
@@ -177,7 +188,7 @@ def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[Da
                     discard(spark, layer(root, LATEST, run, old))
             done["versions"] = done["versions"][-2:]
         finally:
-            messages.unpersist()
+            kept.unpersist()
 
     return write
 
