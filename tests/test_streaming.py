@@ -381,3 +381,41 @@ def test_small_pieces_of_a_batch_are_written_together(spark, monkeypatch):
     monkeypatch.setattr(pipeline, "MESSAGES_PER_TASK", 16)  # 30 tasks
     many = files_per_date()
     assert len(many) == 2 and max(few) < min(many) <= max(many) <= 30
+
+
+def test_no_batch_is_kept_on_the_executors(spark):
+    """A backlog in one batch would fill their heaps. Every layer still sees the same messages, though they differ each time."""
+    known, kept = {i.id() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}, []
+
+    def no_model(session):
+        kept.extend(i.id() for i in session.sparkContext._jsc.sc().getRDDStorageInfo() if i.id() not in known)
+
+    rows = messages(spark, *[(3, hour, 4.5) for hour in range(24)])
+    told = rows.select(F.replace("value", F.lit('"L_T1"'), F.concat(F.lit('"id": "'), F.uuid(), F.lit('", "L_T1"'))).alias("value"))
+    root = scratch_path(spark, "tables")
+    write = pipeline.table_writer(root, "run-a", no_model)
+    write(told, 0)
+    bronze, silver = (pipeline.read_layer(spark, root, name) for name in ("bronze", "silver"))
+    assert bronze.select(pipeline.source_key(bronze)).exceptAll(silver.select(pipeline.SOURCE_KEY)).isEmpty()
+    assert bronze.count() == silver.count() == 24 and kept == []
+
+
+def test_an_empty_batch_leaves_no_messages(spark):
+    root = scratch_path(spark, "tables")
+    write = pipeline.table_writer(root, "run-a")
+    write(messages(spark, (3, 1, 4.5)), 0)
+    write(messages(spark, (3, 2, 4.5)).filter(F.rand() > 2), 1)
+    assert pipeline.progress(spark, root).count() == 1 and not Path(pipeline.layer(root, "bronze", "run-a", 1)).exists()
+
+
+def test_pieces_of_a_batch_follow_its_messages(spark, monkeypatch):
+    """Messages that a small file packs densely are still read by as many tasks as they need; the setting is put back."""
+    monkeypatch.setattr(pipeline, "MESSAGES_PER_TASK", 16)
+    name, tasks = "spark.sql.files.minPartitionNum", 30
+    before = spark.conf.get(name, None)
+    root = scratch_path(spark, "tables")
+    pieces = messages(spark, *[(3, hour, 4.5) for hour in range(24)] * 20).repartition(60)
+    pipeline.table_writer(root, "run-a")(pieces, 0)
+    found = len(list(Path(pipeline.layer(root, "silver", "run-a", 0)).glob("date=*/*.parquet")))
+    assert spark.sparkContext.defaultParallelism < found <= tasks and found > 20
+    assert spark.conf.get(name, None) == before

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -134,9 +135,24 @@ def _writing_tasks(spark: SparkSession, messages: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-messages // MESSAGES_PER_TASK))
 
 
+@contextmanager
+def _read_in(spark: SparkSession, pieces: int) -> Iterator[None]:
+    """Files are read in so many pieces, in more where Spark's split size divides them further."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(pieces))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: executors write, a repeated batch replaces itself, no batch replaces another's.
 
+    The messages are written first and the other layers read them there. So a batch is computed once, and none of it is kept on the
+    executors, whose heaps a backlog in one batch would fill.
+
     A batch owns the folders named after its run and its number. Its last write is a marker with its counts, which are observed
     while the layers are written; readers take marked batches only. A batch that is already marked is not touched again. The
     latest values of the run so far are a small table of their own, merged with every batch and published with its marker; the
@@ -148,47 +164,44 @@ def table_writer(root: str, run: str, model: ModelSource = None) -> Callable[[Da
         spark = batch.sparkSession
         if _is_published(spark, root, run, batch_id):
             return
-        kept = batch.persist()
-        try:
-            number = kept.count()
-            if not number:
-                return
-            tasks = _writing_tasks(spark, number)
-            messages = kept.coalesce(tasks)
-
-            def put(rows: DataFrame, name: str, *by: str) -> tuple[DataFrame, int]:
-                path, seen = layer(root, name, run, batch_id), Observation(name)
-                rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*by).parquet(path)
-                return spark.read.schema(rows.schema).parquet(path), seen.get["n"]
-
-            scorer = model(spark) if callable(model) else model
-            stamped = flagged_messages(messages, scorer).select(
-                "*", F.to_date(EVENT_TIME).alias("date"), F.current_timestamp().alias("ingested_at")
-            )
-            (_, received), (silver, classified), (_, refused) = _at_once(
-                spark, lambda: put(bronze_columns(messages), "bronze"), lambda: put(stamped, "silver", "date"),
-                lambda: put(rejected(messages), "rejects"),
-            )
-            if "versions" not in done:  # once per start
-                done["versions"] = [_newest_batch(spark, root, run)]
-            before = done["versions"][-1]
-            values = latest.values_of(silver, EVENT_TIME, SOURCE_KEY)
-            if before is not None:
-                values = latest.merged(values.union(spark.read.schema(values.schema).parquet(layer(root, LATEST, run, before))))
-            # These read the batch just written: columnar, nothing is parsed twice.
-            parts = rollups.partials(silver, EVENT_TIME)
-            _at_once(
-                spark, lambda: put(gold(silver), "gold"), lambda: put(parts.coalesce(tasks), ROLLUPS),
-                lambda: put(values.coalesce(tasks), LATEST),
+
+        def put(rows: DataFrame, name: str, *by: str) -> tuple[DataFrame, int]:
+            path, seen = layer(root, name, run, batch_id), Observation(name)
+            rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*by).parquet(path)
+            return spark.read.schema(rows.schema).parquet(path), seen.get["n"]
+
+        bronze, received = put(bronze_columns(batch), "bronze")
+        if not received:
+            discard(spark, layer(root, "bronze", run, batch_id))
+            return
+        tasks = _writing_tasks(spark, received)
+        messages = bronze.coalesce(tasks)
+        scorer = model(spark) if callable(model) else model
+        stamped = flagged_messages(messages, scorer).select(
+            "*", F.to_date(EVENT_TIME).alias("date"), F.current_timestamp().alias("ingested_at")
+        )
+        with _read_in(spark, tasks):
+            (silver, classified), (_, refused) = _at_once(
+                spark, lambda: put(stamped, "silver", "date"), lambda: put(rejected(messages), "rejects")
             )
-            put(spark.createDataFrame([(received, classified, refused)], _COUNTS).coalesce(1), COMMITS)
-            done["versions"].append(batch_id)
-            for old in done["versions"][:-2]:
-                if old is not None:
-                    discard(spark, layer(root, LATEST, run, old))
-            done["versions"] = done["versions"][-2:]
-        finally:
-            kept.unpersist()
+        if "versions" not in done:  # once per start
+            done["versions"] = [_newest_batch(spark, root, run)]
+        before = done["versions"][-1]
+        values = latest.values_of(silver, EVENT_TIME, SOURCE_KEY)
+        if before is not None:
+            values = latest.merged(values.union(spark.read.schema(values.schema).parquet(layer(root, LATEST, run, before))))
+        # These read the batch just written: columnar, nothing is parsed twice.
+        parts = rollups.partials(silver, EVENT_TIME)
+        _at_once(
+            spark, lambda: put(gold(silver), "gold"), lambda: put(parts.coalesce(tasks), ROLLUPS),
+            lambda: put(values.coalesce(tasks), LATEST),
+        )
+        put(spark.createDataFrame([(received, classified, refused)], _COUNTS).coalesce(1), COMMITS)
+        done["versions"].append(batch_id)
+        for old in done["versions"][:-2]:
+            if old is not None:
+                discard(spark, layer(root, LATEST, run, old))
+        done["versions"] = done["versions"][-2:]
 
     return write
 
